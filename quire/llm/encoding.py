@@ -196,7 +196,7 @@ class Encoder:
         return [np.fromiter((i for w in words for i in get(w)), dtype=np.int32) for words in split]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def encode(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = DEFAULT_FOLDER, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -207,13 +207,14 @@ def encode(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str =
     is encoded where it is read, and the vocabulary (at most MOST_BYTES) goes to the workers once.
     """
     spark: SparkSession = documents.sparkSession
-    tables = spark.sparkContext.broadcast(load_tables(os.path.join(folder, f"{tokenizer}.json")))
+    path = os.path.join(folder, f"{tokenizer}.json")
+    tables = spark.sparkContext.broadcast(load_tables(path))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoders.get(tables.id)
+        encoder = _encoders.get(path)
         if encoder is None:
-            encoder = _encoders[tables.id] = Encoder(**tables.value)
+            encoder = _encoders[path] = Encoder(**tables.value)
         for texts in batches:
             yield pd.Series(encoder.encode_batch(texts.tolist()), index=texts.index, dtype=object)
 
