@@ -52,12 +52,30 @@ with texts as (
 )
 """
 
+# Values with an invisible character, another space, a width or ligature form, parts of a composed letter,
+# or a word of Latin and other letters.
+_LOOKALIKES = r"""
+with texts as (
+  select 'question' as field_name, question_id as row_id, question as text from questions
+  union all select 'word', vocab_id, word from vocabulary
+  union all select 'translation', vocab_id, translation from vocabulary
+), seen as (
+  select *, regexp_replace(text, '\p{Cf}', '', 'g') as shown from texts where text is not null
+)
+select field_name, row_id from seen
+where shown <> text or nfc_normalize(shown) <> shown
+   or regexp_matches(text, '[\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]')
+   or regexp_matches(text, '[\x{ff01}-\x{ffee}\x{fb00}-\x{fb06}\x{0132}\x{0133}]')
+   or regexp_matches(shown, '\p{Latin}\p{M}*[\p{Greek}\p{Cyrillic}]|[\p{Greek}\p{Cyrillic}]\p{M}*\p{Latin}')
+"""
+
 ORACLE: dict[str, str] = {
     "p4_found": _ENTRIES + "select f.first_id, v.vocab_id as copy_id from keyed v join (select k, min(vocab_id) as first_id from keyed group by k) f on f.k = v.k where v.vocab_id <> f.first_id",
     "p4_entries": _ENTRIES
     + """select min(keyed.vocab_id) as first_id, count(*) as copies,
       count(distinct coalesce(v.collection, chr(2)) || chr(1) || coalesce(v.article, chr(2)) || chr(1) || coalesce(v.word, chr(2))) as spellings
       from keyed join vocabulary v on v.vocab_id = keyed.vocab_id group by k""",
+    "p5_found": _LOOKALIKES,
     "p8_found": _PASSAGES + "select doc_id, item_id from pairs",
     "p8_items": _PASSAGES + "select item_id, count(*) as documents from pairs group by item_id",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canon, copies, encoding, leaks
+from quire.llm import canon, copies, encoding, leaks, lookalike
 from quire.session import table
 
 
@@ -38,6 +38,22 @@ def p4_entries(spark: SparkSession, folder: str) -> DataFrame:
     return copies.entries(table(spark, folder, "vocabulary"))
 
 
+def _p5_texts(spark: SparkSession, folder: str) -> DataFrame:
+    questions, words = table(spark, folder, "questions"), table(spark, folder, "vocabulary")
+    fields = ((questions, "question_id", "question"), (words, "vocab_id", "word"), (words, "vocab_id", "translation"))
+    parts = [df.select(F.lit(name).alias("field_name"), F.col(key).cast("bigint").alias("row_id"), F.col(name).alias("text")) for df, key, name in fields]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.normalise(_p5_texts(spark, folder)).where("text <> clean").select("field_name", "row_id")
+
+
+def p5_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts in one consistent form."""
+    return lookalike.normalise(_p5_texts(spark, folder)).select("field_name", "row_id", "clean")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.encode(table(spark, folder, "documents"))
 
@@ -53,5 +69,5 @@ def p8_items(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p3_found, p3_unmatched, p4_found, p4_entries, p7_ids, p8_found, p8_items)
+    for f in (p3_found, p3_unmatched, p4_found, p4_entries, p5_found, p5_clean, p7_ids, p8_found, p8_items)
 }
