@@ -47,8 +47,9 @@ SUSPECT = (
     rf"[\p{{Cf}}\p{{M}}\p{{Zl}}\p{{Zp}}{_INVISIBLE}]|[\p{{Zs}}&&[^ ]]"
     r"|[\uff01-\uffef\ufb00-\ufb06\ufb13-\ufb17\u0132\u0133\u01c4-\u01cc\u01f1-\u01f3\u2100-\u214f]|[\x{1d400}-\x{1d7ff}]"
     r"|[\u1100-\u11ffıɑɡ]"
-    r"|\p{IsLatin}.*[\p{IsGreek}\p{IsCyrillic}\p{IsArmenian}]|[\p{IsGreek}\p{IsCyrillic}\p{IsArmenian}].*\p{IsLatin}"
 )
+#: Anything but ASCII, ordinary Latin letters and signs, and usual punctuation.
+UNUSUAL = r"[^\x00-\x7f\u00a1-\u00ac\u00ae-\u0130\u0134-\u01c3\u2010-\u2027\u2030-\u205e]"
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _JOINING = regex.compile(r"[\u0600-\u0dff\u0f00-\u109f\u1780-\u17ff᠀-᯿\p{Extended_Pictographic}]")
@@ -59,7 +60,9 @@ _IS = {s: regex.compile(rf"\p{{{s}}}") for s in (*SCRIPTS, "Armenian")}
 
 
 def suspect(c: Column) -> Column:
-    return c.rlike("(?s)" + SUSPECT)
+    """Values that could be cases. ASCII is told by its length in bytes; then ordinary Latin text by plain
+    ranges; only what is left meets the finer patterns, each of which looks at a sign once."""
+    return (F.octet_length(c) > F.char_length(c)) & c.rlike(UNUSUAL) & (c.rlike(SUSPECT) | (c.rlike(r"\p{IsLatin}") & c.rlike(r"[\p{IsGreek}\p{IsCyrillic}\p{IsArmenian}]")))
 
 
 @lru_cache(maxsize=100_000)
@@ -205,18 +208,12 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
     return kept.select("script", "count", F.explode(grams).alias("gram")).groupBy("script", "gram").agg(F.sum("count").alias("n"))
 
 
-def normalise(rows: DataFrame, text: str = "text", clean: str = "clean", model_of: DataFrame | None = None) -> DataFrame:
-    """``rows`` with a column ``clean``: the text in one consistent form. It differs from the text in cases only.
-
-    Null stays null and blank stays blank. ``rows`` may hold any other columns. ``model_of`` gives the
-    texts whose trigrams decide (all of ``rows`` by default). Only values that the JVM-side pattern finds
-    go through Python.
-    """
-    source = rows if model_of is None else model_of
-    counts = trigram_counts(source.select(F.col(text).alias("text")))
+def cleaner(texts: DataFrame, text: str = "text"):
+    """A function of a text column that gives its consistent form, with the trigrams of all ``texts``."""
+    counts = trigram_counts(texts.select(F.col(text).alias("text")))
     # Alphabets are bounded, and so are their trigrams; a count above the bound keeps the most frequent.
     model = [tuple(r) for r in counts.orderBy(F.desc("n"), "script", "gram").limit(MOST_TRIGRAMS).collect()]
-    held = rows.sparkSession.sparkContext.broadcast(model)
+    held = texts.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
     def fixed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -224,4 +221,21 @@ def normalise(rows: DataFrame, text: str = "text", clean: str = "clean", model_o
         for texts in batches:
             yield texts.map(trigrams.clean, na_action="ignore")
 
-    return rows.withColumn(clean, F.when(suspect(F.col(text)), fixed(F.when(suspect(F.col(text)), F.col(text)))).otherwise(F.col(text)))
+    return fixed
+
+
+def normalise(rows: DataFrame, text: str = "text", clean: str = "clean") -> DataFrame:
+    """``rows`` with a column ``clean``: the text in one consistent form. It differs from the text in cases only.
+
+    Null stays null and blank stays blank. ``rows`` may hold any other columns. Only values that the
+    JVM-side pattern finds go through Python.
+    """
+    fixed = cleaner(rows, text)
+    asked = rows.withColumn("_ask", F.when(suspect(F.col(text)), F.col(text)))
+    return asked.withColumn(clean, F.coalesce(fixed(F.col("_ask")), F.col(text))).drop("_ask")
+
+
+def cases(rows: DataFrame, text: str = "text", clean: str = "clean") -> DataFrame:
+    """The rows of ``normalise`` whose text isn't in its consistent form: the rest is dropped before Python."""
+    fixed = cleaner(rows, text)
+    return rows.where(suspect(F.col(text))).withColumn(clean, fixed(F.col(text))).where(F.col(text) != F.col(clean))

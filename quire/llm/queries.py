@@ -46,7 +46,7 @@ def _p5_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return lookalike.normalise(_p5_texts(spark, folder)).where("text <> clean").select("field_name", "row_id")
+    return lookalike.cases(_p5_texts(spark, folder)).select("field_name", "row_id")
 
 
 def p5_clean(spark: SparkSession, folder: str) -> DataFrame:
