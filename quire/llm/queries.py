@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canon, copies, encoding, leaks, lookalike
+from quire.llm import canon, copies, encoding, leaks, lookalike, textstats
 from quire.session import table
 
 
@@ -67,7 +67,15 @@ def p8_items(spark: SparkSession, folder: str) -> DataFrame:
     return p8_found(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return textstats.found(table(spark, folder, "documents"))
+
+
+def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return textstats.statistics(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p3_found, p3_unmatched, p4_found, p4_entries, p5_found, p5_clean, p7_ids, p8_found, p8_items)
+    for f in (p3_found, p3_unmatched, p4_found, p4_entries, p5_found, p5_clean, p7_ids, p8_found, p8_items, p9_found, p9_statistics)
 }
