@@ -7,10 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import canon, copies, encoding, leaks, lookalike, textstats
+from quire.llm import canon, copies, encoding, leaks, lookalike, pairs, textstats, truncation
 from quire.session import table
 
 
+def _p1_rows(spark: SparkSession, folder: str) -> DataFrame:
+    pages, questions = table(spark, folder, "catalog_pages"), table(spark, folder, "questions")
+    summary = pages.select(F.lit("summary").alias("kind"), F.col("catalog_id").cast("bigint").alias("row_id"), F.col("collection").alias("source"), F.col("summary").alias("text"))
+    return summary.unionByName(questions.select(F.lit("question").alias("kind"), F.col("question_id").cast("bigint").alias("row_id"), F.col("collection").alias("source"), F.col("question").alias("text")))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.inspect(_p1_rows(spark, folder)).where("cut").select(F.col("kind").alias("field_name"), "row_id")
+
+
+def p1_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """For each field and book the share of its rows that lost their end."""
+    return truncation.by_source(_p1_rows(spark, folder)).select(F.col("kind").alias("field_name"), F.col("source").alias("collection"), "n", "n_cut", "share")
+
+
+def p1_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """The storage limits of fields and books, and the encoding in which each was counted."""
+    return truncation.limits(_p1_rows(spark, folder)).select(F.col("kind").alias("field_name"), F.col("source").alias("collection"), "encoding", "limit", "at", "beyond")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs.found(table(spark, folder, "questions"))
+
+
+def p2_defects(spark: SparkSession, folder: str) -> DataFrame:
+    """All defects that an item keeps, with their posteriors."""
+    return pairs.defects(table(spark, folder, "questions"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     pages, questions = table(spark, folder, "catalog_pages"), table(spark, folder, "questions")
     tables = {"section": (pages, "catalog_id"), "topic": (pages, "catalog_id"), "level": (questions, "question_id")}
@@ -77,5 +106,5 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p3_found, p3_unmatched, p4_found, p4_entries, p5_found, p5_clean, p7_ids, p8_found, p8_items, p9_found, p9_statistics)
+    for f in (p1_found, p1_sources, p1_limits, p2_found, p2_defects, p3_found, p3_unmatched, p4_found, p4_entries, p5_found, p5_clean, p7_ids, p8_found, p8_items, p9_found, p9_statistics)
 }
