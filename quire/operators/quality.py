@@ -127,7 +127,8 @@ def ragged_rows(lines: DataFrame, width: int, fields: Column, line: Column) -> D
 
 def document_issues(documents: DataFrame, schema: str, rules: Mapping[str, Column], json: str = "json") -> DataFrame:
     """A row for each rule that a JSON document breaks, and one for each that is no JSON of the schema; nothing stops at the first."""
-    parsed = documents.withColumn("_doc", F.from_json(json, schema, {"mode": "PERMISSIVE"}))
+    # A permissive parse gives a struct of nulls for broken JSON, so that is told apart first.
+    parsed = documents.withColumn("_doc", F.when(F.try_parse_json(json).isNotNull(), F.from_json(json, schema)))
     issues = [F.when(F.col("_doc").isNull(), F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("message")))]
     issues += [F.when(F.col("_doc").isNotNull() & ~F.coalesce(ok, F.lit(False)), F.struct(F.lit(path).alias("path"), F.lit("invalid").alias("message"))) for path, ok in rules.items()]
     return parsed.select(*[c for c in documents.columns if c != json], F.explode(F.array_compact(F.array(*issues))).alias("_e")).select(*[c for c in documents.columns if c != json], "_e.*")
