@@ -6,6 +6,8 @@ import atexit
 import os
 import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches of whole texts: a thousand long ones still fit a worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -27,12 +31,32 @@ def builder(master: str | None = None, app: str = "quire") -> SparkSession.Build
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the engine's runtime settings to a session that somebody else made."""
+    """Apply the engine's runtime settings to a session that somebody else made, and send it the engine's code."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of all executors, once for each context.
+
+    So it need not be installed there, nor does it matter in which folder the driver was started.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quire_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="quire-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder, "quire_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._quire_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder all executors share. The cluster names it in spark.checkpoint.dir.
 

@@ -54,3 +54,16 @@ def test_core_does_not_import_llm():
     for f in (REPO / "quire").rglob("*.py"):
         if "llm" not in f.relative_to(REPO).parts:
             assert "quire.llm" not in f.read_text(), f
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test data")
+def test_workers_need_no_installation(tmp_path):
+    """A driver started in another folder, whose workers know nothing of this one, still runs Python operators."""
+    code = (
+        f"import sys; sys.path.insert(0, {str(REPO)!r}); import __spark_entry__ as e; from pyspark.sql import SparkSession;"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate();"
+        f"print('rows', e.queries()['document_blocks'](s, {str(DATA)!r}).count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert "rows " in done.stdout, done.stderr[-2000:]
