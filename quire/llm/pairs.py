@@ -21,13 +21,13 @@ from quire.session import cut
 #: From the defect that excludes the others most surely on: an empty answer is in no language, a refusal may be in any.
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
 #: Posteriors from which a defect is kept. tests/llm/test_pairs.py validates them on items with seeded defects.
-CUTOFFS = {"empty": 0.5, "copy": 0.5, "refusal": 0.5, "language": 0.5, "truncated": 0.5}
+CUTOFFS = {"empty": 0.5, "copy": 0.5, "refusal": 0.2, "language": 0.5, "truncated": 0.5}
 #: Before any vote is seen: the share of items with the defect, and for each function how often it votes for
 #: the defect, where it votes at all, in items with the defect and in others.
 BELIEFS = {
     "empty": (0.02, [(0.40, 0.0005), (0.70, 0.0005), (0.30, 0.001), (0.95, 0.02)]),
     "copy": (0.02, [(0.95, 0.001), (0.90, 0.001), (0.90, 0.005)]),
-    "refusal": (0.02, [(0.20, 0.0005), (0.85, 0.004), (0.35, 0.001), (0.25, 0.002)]),
+    "refusal": (0.02, [(0.20, 0.0005), (0.90, 0.001), (0.35, 0.001), (0.30, 0.002)]),
     "language": (0.02, [(0.90, 0.010), (0.85, 0.010)]),
     "truncated": (0.02, [(0.80, 0.002), (0.95, 0.001), (0.90, 0.002), (0.90, 0.002), (0.15, 0.0002)]),
 }
@@ -35,6 +35,8 @@ BELIEFS = {
 WEIGHT, ROUNDS = 500.0, 25
 #: An answer found in so many types of items that need different ones doesn't depend on its question.
 SPREAD = 4
+#: The same for a sentence: one found in so many types is no answer to any question.
+SENTENCE_SPREAD, SENTENCE_LEAST = 5, 14
 
 # Item types that need no answer, and the mark that stands in for one there.
 FREE = ["writing-task", "speaking-task", "open-ended"]
@@ -60,15 +62,15 @@ _ASKS_TRANSLATION = (
 _LEAD_IN = r"^[\s\p{P}\p{S}]*(?:\p{L}{1,12}\s*(?::|=>|->|→|=)\s*)?[\s\p{P}\p{S}]*"
 _SELF = r"(?i)\b(?:(?:as|i am|i'm) an? (?:ai|language|large)\b|ai (?:model|assistant|language)|language model|ki[- ](?:modell|assistent|sprachmodell)|sprachmodell|als ki\b|modèle de langue|modèle linguistique|assistant (?:ia|virtuel)|intelligence artificielle|en tant qu[e'’]? ?(?:ia|modèle|assistant)|modelo de lenguaje|como (?:ia|modelo))"
 _CANNOT = (
-    r"(?i)\b(?:i (?:can ?not|can'?t|could not|couldn'?t|won'?t|will not|must decline|have to decline|am (?:unable|not able)|do not have|don'?t have)|(?:unable|not possible|impossible) (?:for me )?to|could not be|cannot be|can'?t be)"
+    r"(?i)\b(?:i (?:can ?not|can'?t|could not|couldn'?t|won'?t|will not|must decline|have to decline|am (?:unable|not able|not allowed)|do not have|don'?t have|do not know|don'?t know|refuse)|i'?m (?:unable|not able|not allowed|afraid i)|(?:unable|not able|not possible|impossible) (?:for me )?to|could not be|cannot be|can'?t be|beyond my)"
     r"|\bich (?:kann|darf|bin nicht|möchte|will|werde|weiß)[^.!?]*\b(?:nicht|keine?n?)\b|\b(?:kann|darf|möchte) ich[^.!?]*\b(?:nicht|keine?n?)\b|\bnicht (?:in der lage|möglich|zu bestimmen|zu lösen|beantwort|lösbar)|lässt sich[^.!?]*\bnicht\b|\bmir fehlt|\bfehlt mir"
-    r"|je ne (?:peux|suis|sais|puis)[^.!?]*\bpas\b|je n'ai pas|(?:il )?m'est impossible|je (?:dois|préfère) (?:refuser|décliner)|ne peut (?:pas )?être|je refuse|impossible de"
+    r"|je ne (?:peux|suis|sais|puis)[^.!?]*\bpas\b|je n'ai pas|(?:il )?m'est impossible|je (?:dois|préfère) (?:refuser|décliner)|ne peut (?:pas )?être|je refuse|impossible de|je n'ai (?:aucun|ni)|ne me permet"
     r"|no (?:puedo|me es posible|tengo acceso|es posible)|lo siento, (?:pero )?no"
 )
 _TASK = (
-    r"(?i)\b(?:question|item|exercise|task|answer(?: key)?|option is correct|page provided|full page|source text|picture this|the (?:audio|picture|image))\b|\bthis (?:item|question|exercise|task)"
-    r"|\b(?:aufgabe|frage|lösung(?:sschlüssel)?|antwort|hörtext|vorliegenden? seite|ganze seite|das bild|item|übung)\b"
-    r"|\b(?:cette (?:question|tâche)|cet (?:exercice|item)|exercice|corrigé|bonne réponse|la (?:réponse|solution)|l'image|page complète|tâche)\b|\b(?:pregunta|ejercicio|tarea|respuesta|solución)\b"
+    r"(?i)\b(?:question|request|prompt|item|exercise|task|answer(?: key)?|option is correct|page provided|full page|source text|picture this|the (?:audio|picture|image))\b|\bthis (?:item|question|exercise|task|request)"
+    r"|\b(?:aufgabe|frage|lösung(?:sschlüssel)?|antwort|hörtext|vorliegenden? seite|ganze seite|das bild|item|übung|anfrage)\b"
+    r"|\b(?:cette (?:question|tâche)|cet (?:exercice|item)|exercice|corrigé|bonne réponse|la (?:réponse|solution)|l'image|page complète|tâche|demande)\b|\b(?:pregunta|ejercicio|tarea|respuesta|solución)\b"
 )
 _REQUEST = r"(?i)(?:could you|please|can you) (?:share|supply|provide|send|upload|give)|können sie[^.!?]*\b(?:schicken|senden|geben)|bitte (?:den|die|das)[^.!?]*\b(?:angeben|schicken|senden)|(?:pouvez|pourriez)-vous|merci de (?:fournir|envoyer|préciser)|por favor (?:envíe|comparta)"
 _POLITE = r"(?i)höflich|poliment|politely|einladung|invitation|lehnt|refuse-t|absag|annul|entschuldig dich|educadamente"
@@ -111,7 +113,7 @@ def _prepared(items: DataFrame) -> DataFrame:
 
 def _book_languages(items: DataFrame) -> DataFrame:
     """book, spoken: the language that most questions of a book are in."""
-    votes = items.select("book", language(F.col("question"), 1).alias("l")).where("l is not null").groupBy("book", "l").count()
+    votes = items.select(F.col("collection").alias("book"), language(F.col("question"), 1).alias("l")).where("l is not null").groupBy("book", "l").count()
     return votes.groupBy("book").agg(F.max_by("l", F.struct("count", "l")).alias("spoken"))
 
 
@@ -130,21 +132,31 @@ def _known_words(items: DataFrame) -> DataFrame:
     return answers.select("spoken", "answer", F.explode("ws").alias("word")).join(vocabulary, ["spoken", "word"], "left").groupBy("spoken", "answer").agg(F.avg(F.coalesce("is", F.lit(0))).alias("known"))
 
 
+def _sentences(answer: Column) -> Column:
+    """The sentences of an answer, letters and digits only; short ones say nothing."""
+    parts = F.transform(F.split(answer, r"[.!?\[\]()]+"), lambda p: loose(p))
+    return F.array_distinct(F.filter(parts, lambda p: F.length(p) >= SENTENCE_LEAST))
+
+
 def votes(items: DataFrame) -> DataFrame:
     """question_id and a column for each labelling function: 1 for its defect, -1 against, 0 for no vote.
 
     The names are those of the defects with a number, as in ``copy_1``.
     """
-    items = cut(_prepared(items))
-    items = items.join(_book_languages(items), "book", "left").withColumn("key", loose(F.col("answer"))).withColumn("asked", loose(F.col("question")))
+    books = _book_languages(items)
+    items = _prepared(items)
+    items = items.join(books, "book", "left").withColumn("key", loose(F.col("answer"))).withColumn("asked", loose(F.col("question")))
     items = items.withColumn("free", F.col("type").isin(*FREE)).withColumn("said", language(F.col("answer")))
     items = cut(items)
     wide = items.where(~F.col("free") & (F.col("key") != "")).groupBy("key").agg(F.size(F.collect_set("type")).alias("spread")).where(F.col("spread") >= SPREAD)
+    said = items.where(~F.col("free")).select("answer", "type", F.explode(_sentences(F.col("answer"))).alias("sentence"))
+    common = said.groupBy("sentence").agg(F.size(F.collect_set("type")).alias("types")).where(F.col("types") >= SENTENCE_SPREAD).select("sentence")
+    shared = said.join(common, "sentence", "left_semi").select("answer").distinct().withColumn("shared", F.lit(True))
     known = _known_words(items)
     kinds = F.concat_ws("|", "type", F.coalesce("said", "spoken", F.lit("")))
     answers = items.where(F.char_length("answer") > 3).select(kinds.alias("kind"), F.col("answer").alias("text")).groupBy("kind", "text").agg(F.count(F.lit(1)).alias("n"))
     early = endings.judge(answers.withColumn("whole", F.col("n"))).where("early").select(F.col("kind").alias("_kind"), F.col("text").alias("_text"), F.lit(True).alias("early"))
-    rows = items.withColumn("_kind", kinds).withColumn("_text", F.col("answer")).join(early, ["_kind", "_text"], "left").join(wide, "key", "left").join(known, ["spoken", "answer"], "left")
+    rows = items.withColumn("_kind", kinds).withColumn("_text", F.col("answer")).join(early, ["_kind", "_text"], "left").join(wide, "key", "left").join(known, ["spoken", "answer"], "left").join(shared, "answer", "left")
     return _vote(rows)
 
 
@@ -179,7 +191,6 @@ def _vote(rows: DataFrame) -> DataFrame:
     refuses = a.rlike(_SELF) | (a.rlike(_CANNOT) & a.rlike(_TASK)) | a.rlike(_REQUEST)
     letter = a.rlike(r"^\W*[a-eA-E]\W*$")
     judged = (F.char_length(a) > 3) & ~free
-    long_spread = spread & (F.length(key) >= 14)
     due = ~free
     filled_in = due & (F.length(key) > 0)
     text = filled_in & ~letter & ~is_option & ~same
@@ -200,11 +211,11 @@ def _vote(rows: DataFrame) -> DataFrame:
             (F.size(given) > 1) & (F.size(put) > 1) & ~is_option,
         ),
         "copy_3": vote(a.rlike(r"_{2,}\s*\p{L}|\p{L}\s*_{2,}"), filled_in & q.rlike("_{2,}") & (F.length(key) > 12)),
-        # a model speaks of itself; it cannot, and speaks of the task; it asks for material; all types share it
+        # a model speaks of itself; it cannot, and speaks of the task; it asks for material; all types share a sentence of it
         "refusal_1": vote(a.rlike(_SELF), text),
         "refusal_2": vote(a.rlike(_CANNOT) & a.rlike(_TASK) & ~(polite & ~a.rlike(_SELF) & ~spread & ~a.rlike(_TASK)), text),
         "refusal_3": vote(a.rlike(_REQUEST), text & (F.size(put) > 4)),
-        "refusal_4": vote(long_spread, text & (F.length(key) >= 14)),
+        "refusal_4": vote(F.col("shared"), text & (F.length(key) >= SENTENCE_LEAST)),
         # function words of another language; hardly any word that its language's questions have
         "language_1": vote((said != spoken) & ~translation, whole_sentence & said.isNotNull()),
         "language_2": vote((known < 0.34) & ~translation, whole_sentence & known.isNotNull()),
@@ -224,10 +235,11 @@ def fit(counts: dict[tuple[int, ...], int], belief: tuple[float, list[tuple[floa
 
     A function that doesn't vote on an item says nothing about it.
     """
-    patterns = list(counts)
+    # Items that no function could judge say nothing of how rare the defect is among the others.
+    patterns = [p for p in counts if any(p)]
     share, start = belief
     prior, trust = share, [list(x) for x in start]
-    total = sum(counts.values())
+    total = sum(counts[p] for p in patterns)
     post: dict[tuple[int, ...], float] = {}
 
     def log(k: int, side: int, vote: int) -> float:
@@ -246,7 +258,7 @@ def fit(counts: dict[tuple[int, ...], int], belief: tuple[float, list[tuple[floa
                 trust[k][side] = (sum(n for p, n in of.items() if p[k] == 1) + weight * belief_of) / (sum(of.values()) + weight)
             # A function never speaks for a defect by voting against it.
             trust[k][0] = max(trust[k][0], trust[k][1])
-    return post
+    return {p: post.get(p, 0.0) for p in counts}
 
 
 def defects(items: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFrame:
