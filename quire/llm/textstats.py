@@ -22,6 +22,8 @@ from quire.session import cut
 STATES = ("prose", "list", "table", "junk")
 #: A common word stands in at least this share of all texts; of those the most frequent so many are known to the workers.
 COMMON_SHARE, MOST_COMMON = 0.02, 5_000
+#: Lines whose observations a worker remembers: in lists and tables many stand more than once.
+MOST_LINES = 50_000
 #: Rounds of training, and how much of each new estimate is taken over.
 ROUNDS, LEARN = 2, 0.15
 
@@ -29,12 +31,16 @@ _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\S+")
 _MARK = re.compile(r"^\s*(?:[-*+•·‣◦–—○●▪■□☐☑✓>]+\s+|\(?\d{1,4}[.)]\s+|\(?[A-Za-z][.)]\s+)")
 _COLUMN = re.compile(r"(?:(?<=\s)|^|(?<=\w))\|(?=\s|\w|-|:|$)|\t| {2,}|(?<=\w);(?=\w)|(?<=\w),(?=[^\W\d])")
+SEPARATORS = ("|", "\t", "  ", ";", ",")
 _PART = re.compile(r"[,;|\t•·]| {2,}|\s[–—-]\s")
 _LEADER = re.compile(r"(?:\.{3,}|…{2,}|(?:\. ){3,}|_{3,})\s*\d+\s*$")
+_ENDED = re.compile(r"[.!?:;…][\"'»“”’)\]]*\s*\Z")
 _SENTENCE = re.compile(r"[.!?…][\"'»“”’)\]]*(?=\s|$)")
 
-#: Marks that texts, lists and tables are full of.
-USUAL = frozenset(".,;:!?'\"()|-–—/…„“”«»’•‚‘")
+#: Runs of digits, of letters and digits, and of signs that are neither those nor the marks that texts, lists and tables are full of.
+_DIGITS = re.compile(r"\d+")
+_ALNUM = re.compile(r"[^\W_]+")
+_ODD = re.compile(r"(?:_|[^\w\s.,;:!?'\"()|–—/…„“”«»’•‚‘-])+")
 
 # Observations of a line, and the beliefs to start from: for each hidden state the chance of each value.
 # Junk has two hidden states, noise of signs and words that aren't any; they are added up as junk.
@@ -80,6 +86,10 @@ def _bin(value: float, *limits: float) -> int:
     return sum(value >= x for x in limits)
 
 
+def total(runs: re.Pattern[str], text: str) -> int:
+    return sum(map(len, runs.findall(text)))
+
+
 def observe(line: str, common: frozenset[str]) -> tuple[int, int]:
     """The observations of a line that isn't blank, as one number, and its weight: the signs it has."""
     body = _MARK.sub("", line, count=1)
@@ -89,14 +99,14 @@ def observe(line: str, common: frozenset[str]) -> tuple[int, int]:
     n = len(signs) or 1
     words = _WORD.findall(body)
     letters = sum(map(len, words))
-    digits = sum(c.isdigit() for c in signs)
+    digits = total(_DIGITS, signs)
     parts = [x for x in _PART.split(body.strip(" |")) if x.strip()]
     tokens = _TOKEN.findall(body)
     ends = [m.end() for m in _SENTENCE.finditer(body)]
     inner = [e for e in ends if e < len(body)]
     long = [w for w in words if len(w) > 1]
     known = sum(w.lower() in common for w in long)
-    stretch = max((len(_WORD.findall(x)) for x in _SENTENCE.split(body)), default=0)
+    stretch = max(len(_WORD.findall(x)) for x in _SENTENCE.split(body)) if inner else len(words)
     longest = max(map(len, tokens), default=0)
     if n >= 5 and len(set(signs)) <= 2 and not letters and "|" not in signs:
         shape = 3
@@ -104,17 +114,20 @@ def observe(line: str, common: frozenset[str]) -> tuple[int, int]:
         shape = 2
     else:
         shape = int(len(tokens) >= 4 and sum(len(t) <= 2 for t in tokens) > 0.6 * len(tokens))
+    odd = _bin(total(_ODD, signs) / n, 0.04, 0.15)
+    # What separates cells of noise separates nothing.
+    columns = min(3, len(_COLUMN.findall(line.strip()))) if odd < 2 and any(x in line for x in SEPARATORS) else 0
     values = (
         _bin(letters / n, 0.3, 0.55, 0.72),
-        _bin(sum(not c.isalnum() and c not in USUAL for c in signs) / n, 0.04, 0.15),
-        min(3, len(_COLUMN.findall(line.strip()))),
+        odd,
+        columns,
         int(marked),
         _bin(len(words) / max(1, len(parts)), 2.51, 4.01, 7.01),
         2 if inner else 1 if ends else 0,
         _bin(known / len(long), 0.15, 0.4, 0.65) if long else 0,
         _bin(len(words), 1, 4, 9, 21),
         shape,
-        int(bool(_LEADER.search(body))),
+        int(body[-1:].isdigit() and bool(_LEADER.search(body))),
         _bin(stretch, 25, 45),
         _bin(digits / n, 0.1, 0.4),
     )
@@ -219,16 +232,22 @@ LINES = "doc_id bigint, words bigint, mean_word_length double, symbol_ratio doub
 
 def _lines(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = frozenset(known.value)
+        common, told = frozenset(known.value), {}
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lines = [x for x in (text or "").splitlines() if x.strip()]
                 words = _WORD.findall(text or "")
                 signs = sum(map(len, (text or "").split()))
-                alnum = sum(c.isalnum() for c in text or "")
-                seen = [observe(x, common) for x in lines]
-                ended = sum(bool(re.search(r"[.!?:;…][\"'»“”’)\]]*\s*$", x)) for x in lines)
+                alnum = total(_ALNUM, text or "")
+                seen = []
+                for x in lines:
+                    if x not in told:
+                        if len(told) >= MOST_LINES:
+                            told.clear()
+                        told[x] = observe(x, common)
+                    seen.append(told[x])
+                ended = sum(bool(_ENDED.search(x)) for x in lines)
                 known_words = sum(w.lower() in common for w in words)
                 rows.append((
                     doc, len(words), sum(map(len, words)) / len(words) if words else None, (signs - alnum) / signs if signs else None,
