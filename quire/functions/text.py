@@ -245,3 +245,13 @@ def nfc(c: Column) -> Column:
 
     odd = F.octet_length(c) > F.char_length(c)
     return F.when(odd, composed(F.when(odd, c))).otherwise(c)
+
+
+def needs_render(html: Column, least: int = 200) -> Column:
+    """Whether a page shows so little text that it has to be loaded in a browser."""
+    return F.length(visible_text(F.coalesce(html, F.lit("")))) < least
+
+
+def chunk_label(first: Column, last: Column) -> Column:
+    """The name of a chunk of pages."""
+    return F.format_string("chunk-%03d-%03d", first, last)

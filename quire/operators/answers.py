@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +54,7 @@ def among(answer: Column, options: Column) -> Column:
     return near(answer) | ((F.size(parts) > 1) & F.forall(parts, near))
 
 
-def check(items: DataFrame, language: Column) -> DataFrame:
+def check(items: DataFrame, language: Column, true_false: Mapping[str, Sequence[str]] = TRUE_FALSE) -> DataFrame:
     """``items`` with ``fixed``, the answer after repair, and ``issue``, what needs a look; null where there is none.
 
     True-false answers get their capital, letters become the text of their option. Blank answers are left
@@ -64,8 +64,8 @@ def check(items: DataFrame, language: Column) -> DataFrame:
     bare = X.strip(answer)
     options = F.filter(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in OPTIONS]), lambda o: o != "")
     kind = F.coalesce("item_type", F.lit(""))
-    term = starts_with(bare, TRUE_FALSE["en"])
-    for lang, terms in TRUE_FALSE.items():
+    term = starts_with(bare, true_false.get("en", ()))
+    for lang, terms in true_false.items():
         term = F.when(language == lang, starts_with(bare, terms)).otherwise(term)
     letter = X.bare_letter(bare)
     option = F.nullif(answer_option(bare, {c[-1]: c for c in OPTIONS}), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,29 @@ def detail(rows: DataFrame, key: str, featured: Sequence[str] = ()) -> DataFrame
     rest = [c for c in rows.columns if c not in featured and c != key]
     cells = [F.struct(F.lit(k).alias("place"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), F.lit(c in featured).alias("featured")) for k, c in enumerate([*featured, *rest])]
     return rows.select(key, F.explode(F.array(*cells)).alias("_e")).select(key, "_e.*").where("featured or coalesce(value, '') <> ''").drop("featured")
+
+
+def by_title(books: DataFrame, column: str = "title") -> DataFrame:
+    """In the order of a dictionary, whatever the language."""
+    return books.orderBy(F.collate(F.col(column), "UNICODE"), column)
+
+
+def accent(qa: Column, answer: Column, status: Column) -> Column:
+    """How a row is marked: by its verdict, else by whether it is answered, else by its status."""
+    s = F.lower(F.coalesce(status, F.lit("")))
+    return (
+        F.when(qa == "pass", "good")
+        .when(qa == "fail", "bad")
+        .when(F.trim(F.coalesce(answer, F.lit(""))) != "", "good")
+        .when(s.contains("verified") | s.contains("complete"), "good")
+        .when(s.contains("pending"), "muted")
+        .otherwise("plain")
+    )
+
+
+def grouped(entries: DataFrame, order: str, kind: str = "kind", most: int = 1000) -> DataFrame:
+    """Search entries that aren't disabled by kind, kinds and entries in their order; a kind shows its first ``most``."""
+    kept = entries.where(~F.coalesce("disabled", F.lit(False)))
+    ranked = kept.withColumn("_n", F.row_number().over(Window.partitionBy(kind).orderBy(order))).where(F.col("_n") <= most)
+    held = ranked.groupBy(kind).agg(F.min(order).alias("_o"), F.array_sort(F.collect_list(F.struct(order, "label"))).alias("_e"))
+    return held.orderBy("_o").select(kind, F.transform("_e", lambda e: e["label"]).alias("labels"))

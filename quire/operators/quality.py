@@ -136,3 +136,9 @@ def document_issues(documents: DataFrame, schema: str, rules: Mapping[str, Colum
     issues = [F.when(F.col("_doc").isNull(), F.struct(F.lit("").alias("path"), F.lit("unreadable").alias("message")))]
     issues += [F.when(F.col("_doc").isNotNull() & ~F.coalesce(ok, F.lit(False)), F.struct(F.lit(path).alias("path"), F.lit("invalid").alias("message"))) for path, ok in rules.items()]
     return parsed.select(*[c for c in documents.columns if c != json], F.explode(F.array_compact(F.array(*issues))).alias("_e")).select(*[c for c in documents.columns if c != json], "_e.*")
+
+
+def passes(found: DataFrame, strict: bool = False) -> bool:
+    """Whether nothing failed; with ``strict``, whether nothing was found at all. Looks for one row only."""
+    bad = found if strict else found.where("severity = 'fail'")
+    return not bad.limit(1).collect()

@@ -124,3 +124,16 @@ def column_differences(columns: Sequence[str], canonical: Sequence[str], optiona
         "missing": [c for c in canonical if c not in columns and c not in optional],
         "ordered": kept == [c for c in canonical if c in columns],
     }
+
+
+def raster_gap(books: DataFrame, images: DataFrame, files: DataFrame, key: str = "slug") -> DataFrame:
+    """Books whose number of page images isn't that of their file: key, images, pages. Books whose number of pages
+    isn't known, or whose images came with them, aren't compared."""
+    asked = books.where(~F.coalesce("images_preexisting", F.lit(False))).select(key)
+    counts = asked.join(files.select(key, "pages"), key).join(images.select(key, "images"), key, "left")
+    return counts.select(key, F.coalesce("images", F.lit(0)).alias("images"), "pages").where("images <> pages and pages is not null")
+
+
+def routes(languages: DataFrame, kinds: Sequence[str], key: str = "lang") -> DataFrame:
+    """Each language with each kind of sheet."""
+    return languages.select(key, F.explode(F.array(*map(F.lit, kinds))).alias("kind"))

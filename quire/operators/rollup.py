@@ -141,3 +141,20 @@ def unpivot(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def batch_summary(outcomes: DataFrame, group: Sequence[str] = (), sample: int = 20) -> DataFrame:
+    """Pages processed, passed, still failing and repaired, and the first of those that fail."""
+    ok, repaired = F.coalesce(F.col("ok"), F.lit(False)), F.coalesce(F.col("repaired"), F.lit(False))
+    counts = outcomes.groupBy(*group).agg(F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("passed"), F.count_if(~ok).alias("failing"), F.count_if(repaired).alias("repaired"))
+    if not group:
+        first = outcomes.where(~ok).orderBy("page").limit(sample).agg(F.array_sort(F.collect_list("page")).alias("first_failing"))
+        return counts.join(F.broadcast(first))  # one row
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("page"))
+    first = outcomes.where(~ok).withColumn("_n", place).where(F.col("_n") <= sample).groupBy(*group).agg(F.array_sort(F.collect_list("page")).alias("first_failing"))
+    return counts.join(first, list(group), "left").withColumn("first_failing", F.coalesce("first_failing", F.array().cast("array<int>")))
+
+
+def share_rounded(part: Column, whole: Column) -> Column:
+    """Whole per cent, halves up; null of nothing."""
+    return F.when(whole > 0, X.half_up(100.0 * part / whole)).cast("int")

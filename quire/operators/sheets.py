@@ -102,3 +102,13 @@ def document(catalog_rows: DataFrame) -> DataFrame:
     line = F.concat(F.lit("| "), F.concat_ws(" | ", F.replace("unit", F.lit("page-"), F.lit("")), "section", "activity_type", "topic", X.cell_for_table(F.coalesce(F.nullif("summary", F.lit("")), F.col("title")))), F.lit(" |"))
     rows = catalog_rows.select("collection", F.struct("unit", line.alias("line")).alias("_r"))
     return rows.groupBy("collection").agg(F.array_join(F.transform(F.array_sort(F.collect_list("_r")), lambda r: r["line"]), "\n").alias("text"))
+
+
+def start_page(counts: DataFrame, language: str, most: int = 10_000) -> str:
+    """A page of orientation with the totals of all live books and a line for each; refuses more books than ``most``."""
+    rows = live(counts).orderBy("family", "collection").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} books")
+    total = [sum(r[c] for r in rows) for c in ("pages", "questions", "words")]
+    lines = [f"# {language}", "", f"{len(rows):,} books, {total[0]:,} pages, {total[1]:,} questions, {total[2]:,} words.", "", "| Book | Pages | Questions | Words |", "|---|---|---|---|"]
+    return "\n".join([*lines, *[f"| {r.collection} | {r.pages:,} | {r.questions:,} | {r.words:,} |" for r in rows], ""])

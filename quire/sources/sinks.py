@@ -113,3 +113,8 @@ def tsv_lines(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def pruned(existing: DataFrame, kept: DataFrame, key: str = "path") -> DataFrame:
     """Files that are there and that nothing keeps."""
     return existing.join(kept.select(key).distinct(), key, "left_anti")
+
+
+def view_export(df: DataFrame, path: str, columns: Sequence[str], most: int = 500) -> int:
+    """The first rows of a filtered view as one sheet, as many as a printed export holds."""
+    return write_single_sheet(df.limit(most), path, columns, most)
