@@ -207,7 +207,10 @@ def _renames(seen: DataFrame, added: DataFrame, removed: DataFrame, likeness: fl
     key = ["feed_id", "at", "kind", "feature"]
     a = share.where("side = 'old'").select(*key, F.col("field").alias("removed"), F.col("p").alias("p"))
     b = share.where("side = 'new'").select(*key, F.col("field").alias("added"), F.col("p").alias("q"))
-    score = a.join(b, key).groupBy("feed_id", F.col("at").alias("file_name"), "removed", "added").agg((F.sum(F.least("p", "q")) / 2).alias("score"))
+    both = F.least("p", "q")
+    words = F.sum(F.when(F.col("feature").startswith("w"), both).otherwise(0.0))
+    # Long texts hardly share a shape, short codes hardly a word; either is enough.
+    score = a.join(b, key).groupBy("feed_id", F.col("at").alias("file_name"), "removed", "added").agg(F.greatest(F.sum(both) / 2, words).alias("score"))
     score = score.where(F.col("score") >= likeness)
     first = score.groupBy(*names, "removed").agg(F.max_by("added", F.struct("score", "added")).alias("added"))
     back = score.groupBy(*names, "added").agg(F.max_by("removed", F.struct("score", "removed")).alias("removed"))

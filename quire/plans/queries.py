@@ -198,11 +198,11 @@ def first_entry_kept(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select collection, coalesce(source_page, '') as source_page, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct chunk) as origins
-from questions group by 1, 2, 3, 4 having count(distinct chunk) > 1""")
+select collection, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct chunk) as origins
+from questions group by 1, 2, 3 having count(distinct chunk) > 1""")
 def chunk_collisions(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "questions")
-    return merge.collisions(rows, ["collection", "source_page", "part", "item"], "chunk")
+    return merge.collisions(rows, ["collection", "part", "item"], "chunk")
 
 
 @query("select collection, cast(sum(n - 1) as bigint) as overwrites from (select collection, unit, count(*) as n from catalog_pages group by 1, 2) group by 1")
@@ -299,10 +299,10 @@ def build_staleness(spark: SparkSession, folder: str) -> DataFrame:
     return relations.compare_builds(built, kept)
 
 
-@query("select c_custkey, o_orderkey from customer left join orders on o_custkey = c_custkey where o_orderkey is null")
-def customers_without_orders(spark: SparkSession, folder: str) -> DataFrame:
-    lone = table(spark, folder, "customer").join(table(spark, folder, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
-    return lone.select("c_custkey", F.lit(None).cast("bigint").alias("o_orderkey"))
+@query("select o_orderkey, o_custkey from orders o where not exists (select 1 from lineitem where l_orderkey = o.o_orderkey and l_returnflag = 'R')")
+def orders_without_returns(spark: SparkSession, folder: str) -> DataFrame:
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, folder, "orders").join(returned, "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
 
 
 # --- quality ------------------------------------------------------------------------------------
@@ -407,10 +407,10 @@ def kpi_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.kpis(kept, "collection", X.filled(F.col("correct_answer")), "topic")
 
 
-@query("select question_id, collection, question from questions where lower(section) = 'reading' and contains(lower(question), 'markt') order by collection desc, question_id limit 50 offset 50")
+@query("select question_id, collection, question from questions where lower(section) = 'reading' and contains(lower(question), 'ist') order by collection desc, question_id limit 50 offset 50")
 def explore_page(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "questions").select("question_id", "collection", "section", "question")
-    found = explore.equal_filters(explore.search(rows, "markt", ["question"]), {"section": "reading"})
+    found = explore.equal_filters(explore.search(rows, "ist", ["question"]), {"section": "reading"})
     return explore.page(found, [F.desc("collection"), "question_id"], number=1).select("question_id", "collection", "question")
 
 

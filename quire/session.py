@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -74,15 +76,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` reliably: its rows are written to the shared folder and read again.
+    """Cut the lineage of ``df`` reliably: its rows are written as a table to the shared folder and read again.
 
-    Used where one intermediate result feeds several branches; it survives the loss of executors.
+    Used where one intermediate result feeds several branches. It survives the loss of executors, and the
+    planner knows the table's real size, while a checkpoint carries the guess made before it was computed.
+    The files go with ``forget``, at the latest when the driver ends.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quire-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    key = id(spark.sparkContext)
+    if key not in _written:
+        atexit.register(_forget_at_exit, spark)
+    _written.setdefault(key, []).append(path)
+    return back
+
+
+_written: dict[int, list[str]] = {}
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete the tables that ``cut`` has written in this session; results built on them can't be read afterwards."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    for path in _written.pop(id(sc), []):
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def _forget_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended already
+        forget(spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
