@@ -83,7 +83,7 @@ def match(values: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, m
     keys = keyed.where("exact is null").select("field_name", "key").distinct()
     codes = entries.select("field_name", "canon_id", level_code(core(F.col("entry"))).alias("code")).where("code is not null")
     coded_fields = codes.select("field_name").distinct()
-    with_code = keys.join(F.broadcast(coded_fields), "field_name", "left_semi").withColumn("code", level_code(F.col("key"))).where("code is not null")
+    with_code = keys.join(coded_fields, "field_name", "left_semi").withColumn("code", level_code(F.col("key"))).where("code is not null")
     by_code = with_code.join(codes, ["field_name", "code"], "left").select("field_name", "key", F.coalesce("canon_id", F.lit(-1)).alias("canon_id"), F.lit(1.0).alias("score"))
     by_word = search(keys.join(with_code, ["field_name", "key"], "left_anti"), entries, threshold, margin)
     found = by_code.unionByName(by_word)
@@ -94,7 +94,7 @@ def match(values: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, m
 
 def search(keys: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """field_name, key, canon_id, score: accepted entries of normalised keys; keys with none are left out."""
-    lists = index(entries)
+    lists = cut(index(entries))
     unseen = lists.groupBy("field_name").agg(F.max("idf").alias("most"))
     known = lists.groupBy("field_name", "gram").agg(F.first("idf").alias("idf"))
     bag = keys.where("key <> ''").select("field_name", "key", F.explode(grams(F.col("key"))).alias("gram")).groupBy("field_name", "key", "gram").count()
@@ -102,7 +102,7 @@ def search(keys: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, ma
     norm = bag.groupBy("field_name", "key").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     dot = bag.where("idf is not null").join(lists.drop("idf"), ["field_name", "gram"]).groupBy("field_name", "key", "canon_id", "name").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot"))
     scored = dot.join(norm, ["field_name", "key"]).withColumn("score", F.col("dot") / F.col("norm"))
-    best = scored.groupBy("field_name", "key", "canon_id").agg(F.max(F.struct("score", "name")).alias("b"))
+    best = cut(scored.groupBy("field_name", "key", "canon_id").agg(F.max(F.struct("score", "name")).alias("b")))
     top = best.groupBy("field_name", "key").agg(F.max(F.struct(F.col("b.score").alias("score"), F.col("canon_id"), F.col("b.name").alias("name"))).alias("t"), F.count(F.lit(1)).alias("n"))
     lead = best.join(top, ["field_name", "key"]).where("canon_id <> t.canon_id").groupBy("field_name", "key").agg(F.max("b.score").alias("second"))
     near = 1 - F.levenshtein("key", F.col("t.name")) / F.greatest(F.length("key"), F.length("t.name"))
@@ -125,6 +125,6 @@ def found(tables: dict[str, tuple[DataFrame, str]], entries: DataFrame) -> DataF
         part = df.select(F.lit(name).alias("field_name"), F.col(id_column).cast("bigint").alias("row_id"), F.col(name).alias("value"))
         rows = part if rows is None else rows.unionByName(part)
     assert rows is not None
-    entry = F.broadcast(entries.select("field_name", F.col("entry").alias("value")))  # a reference list of a few entries
+    entry = entries.select("field_name", F.col("entry").alias("value"))
     odd = rows.join(entry, ["field_name", "value"], "left_anti")
     return odd.join(match(odd, entries), ["field_name", "value"]).select("field_name", "row_id", "canon_id")
