@@ -114,19 +114,20 @@ def _companions(whole: DataFrame, known: DataFrame) -> dict[str, dict[str, list[
     companions of one than the mean number of words divided by ALWAYS.
     """
     totals = whole.groupBy("kind").agg(F.sum("whole").alias("texts"))
-    often = known.join(totals, "kind").where(F.col("sure") >= F.greatest(F.lit(LEAST), F.col("texts") * FREQUENT)).select("kind", "word")
-    listed: dict[str, list[str]] = {}
-    for r in often.orderBy("kind", "word").collect():
-        listed.setdefault(r.kind, []).append(r.word)
+    least = F.greatest(F.lit(LEAST), F.col("texts") * FREQUENT)
+    often = known.join(totals, "kind").where(F.col("sure") >= least).select("word").distinct()
+    frequent = sorted(r.word for r in often.collect())
+    if not frequent:
+        return {}
+    # One pass for all kinds: a word that is frequent in one of them only is left out of the others below.
+    held = whole.select("kind", F.col("whole").alias("n"), _only("w", frequent).alias("w"))
+    after = F.array_distinct(F.slice("w", F.array_position("w", F.col("a")).cast("int") + 1, F.size("w")))
+    first = held.select("kind", "n", "w", F.explode(F.array_distinct("w")).alias("a")).select("kind", "n", "a", after.alias("after"))
+    pairs = first.select("kind", "n", "a", F.explode("after").alias("b")).groupBy("kind", "a", "b").agg(F.sum("n").alias("both"))
+    alone = first.groupBy("kind", "a").agg(F.sum("n").alias("n_a")).join(totals, "kind").where(F.col("n_a") >= least)
     rules: dict[str, dict[str, list[str]]] = {}
-    for kind, frequent in listed.items():
-        held = whole.where(F.col("kind") == kind).select(F.col("whole").alias("n"), _only("w", frequent).alias("w"))
-        after = F.array_distinct(F.slice("w", F.array_position("w", F.col("a")).cast("int") + 1, F.size("w")))
-        first = held.select("n", "w", F.explode(F.array_distinct("w")).alias("a")).select("n", "a", after.alias("after"))
-        pairs = first.select("n", "a", F.explode("after").alias("b")).groupBy("a", "b").agg(F.sum("n").alias("both"))
-        alone = first.groupBy("a").agg(F.sum("n").alias("n_a")).where(F.col("n_a") >= LEAST)
-        for r in pairs.join(alone, "a").where(F.col("both") >= ALWAYS * F.col("n_a")).select("a", "b").collect():
-            rules.setdefault(kind, {}).setdefault(r.a, []).append(r.b)
+    for r in pairs.join(alone, ["kind", "a"]).where(F.col("both") >= ALWAYS * F.col("n_a")).select("kind", "a", "b").collect():
+        rules.setdefault(r.kind, {}).setdefault(r.a, []).append(r.b)
     return rules
 
 
