@@ -8,6 +8,7 @@ name is known and their value fits; all else, unknown names and values that don'
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,23 +89,90 @@ def promote(ingested: DataFrame, approved: Mapping[str, str], target: Mapping[st
 
     ``approved`` maps a name found in ``_rescued`` to a column of the target schema, or to a dotted path's
     column as in ``{"level.code": "level"}`` for a field of a rescued object, or ``{"level[0]": "level"}``
-    for an element of a rescued array. What was replayed leaves ``_rescued``; all else stays.
+    for an element of a rescued array; the first that fits is taken. What was replayed leaves ``_rescued``;
+    all else stays: the other members of an object and the other elements of an array under their name, which
+    goes when nothing of it is left. Paths count in the values as rescued, so a path that overlaps one
+    replayed before it isn't replayed.
     """
-    held = F.from_json("_rescued", "map<string,variant>")
-    rows = ingested.withColumn("_fields", held)
-    for source, column in approved.items():
-        name = source.split(".")[0].split("[")[0]
-        path = "$" + source[len(name) :]
-        value = _fits(F.try_variant_get(F.col("_fields")[name], path, "variant"), target[column])
-        took = F.col(column).isNull() & value.isNotNull()
-        rows = rows.withColumn("_took", took).withColumn(column, F.coalesce(column, value))
-        rows = rows.withColumn("_fields", F.when(F.col("_took"), _without("_fields", name)).otherwise(F.col("_fields"))).drop("_took")
-    rest = F.when(F.col("_fields").isNotNull() & (F.size("_fields") > 0), F.to_json("_fields"))
+    steps = {source: _steps(source) for source in approved}
+    rows = ingested.withColumn("_fields", F.from_json("_rescued", "map<string,variant>")).withColumn("_took", F.array().cast("array<string>"))
+    for part in _apart(approved, steps):
+        values = {}
+        for k, source in enumerate(part):
+            name = steps[source][0]
+            value = _fits(F.try_variant_get(F.col("_fields")[name], "$" + source[len(name) :], "variant"), target[approved[source]])
+            over = [other for other in approved if other not in part and approved[other] != approved[source] and _overlap(steps[other], steps[source])]
+            values[f"_v{k}"] = F.when(~F.arrays_overlap("_took", F.array(*map(F.lit, over))), value) if over else value
+        rows = rows.withColumns(values)
+        ways: dict[str, list[tuple[str, str]]] = {}
+        for v, source in zip(values, part):
+            ways.setdefault(approved[source], []).append((v, source))
+        which = [F.when(F.col(c).isNull(), F.coalesce(*[F.when(F.col(v).isNotNull(), F.lit(source)) for v, source in of])) for c, of in ways.items()]
+        filled = {c: F.coalesce(c, *[v for v, _ in of]) for c, of in ways.items()}
+        rows = rows.withColumns({"_took": F.concat("_took", F.array_compact(F.array(*which))), **filled}).drop(*values)
+    tree: dict = {}
+    for source, path in steps.items():
+        at = tree
+        for step in path:
+            at = at.setdefault(step, {})
+        at[None] = source
+    left = _pruned(F.col("_fields"), tree)
+    rest = F.when(F.size("_took") == 0, F.col("_rescued")).when(F.size(left) > 0, F.to_json(left))
     return rows.withColumn("_rescued", rest).select(*keys, *target, "_rescued")
 
 
-def _without(column: str, name: str) -> Column:
-    return F.map_filter(column, lambda k, _: k != name)
+def _steps(source: str) -> tuple[str | int, ...]:
+    """A path's top-level name, and the members and elements it goes through."""
+    name = source.split(".")[0].split("[")[0]
+    rest = source[len(name) :]
+    if not re.fullmatch(r"(\.[^.\[\]]+|\[\d+\])*", rest):
+        raise ValueError(f"no such path: {source}")
+    return (name, *[int(i) if i else member for member, i in re.findall(r"\.([^.\[\]]+)|\[(\d+)\]", rest)])
+
+
+def _overlap(a: tuple[str | int, ...], b: tuple[str | int, ...]) -> bool:
+    return a[: len(b)] == b[: len(a)]
+
+
+def _apart(approved: Mapping[str, str], steps: Mapping[str, tuple[str | int, ...]]) -> list[list[str]]:
+    """The approved paths in their order, in parts within which no two of different columns overlap."""
+    parts: list[list[str]] = [[]]
+    for source in approved:
+        if any(approved[other] != approved[source] and _overlap(steps[other], steps[source]) for other in parts[-1]):
+            parts.append([])
+        parts[-1].append(source)
+    return parts
+
+
+def _pruned(held: Column, tree: Mapping) -> Column:
+    """A map or an array of variants without the paths of ``tree`` that ``_took`` names."""
+
+    def one(step: Column, value: Column) -> Column:
+        out = value
+        for k, below in tree.items():
+            if k is not None:
+                out = F.when(step == k, _cleared(value, below)).otherwise(out)
+        return out
+
+    if any(isinstance(k, int) for k in tree):
+        return F.filter(F.transform(held, lambda v, i: one(i, v)), lambda v: v.isNotNull())
+    return F.map_filter(F.transform_values(held, one), lambda _, v: v.isNotNull())
+
+
+def _cleared(value: Column, tree: Mapping) -> Column:
+    """What is left of a variant without the paths of ``tree`` that ``_took`` names, or null if that is nothing."""
+    out = value
+    for sort, type_name, held in (("object", "map<string,variant>", str), ("array", "array<variant>", int)):
+        below = {k: t for k, t in tree.items() if isinstance(k, held)}
+        if below:
+            left = _pruned(F.try_variant_get(value, "$", type_name), below)
+            touched = F.arrays_overlap("_took", F.array(*map(F.lit, _sources(below))))
+            out = F.when(touched & (kind(value) == sort), F.when(F.size(left) > 0, F.to_variant_object(left))).otherwise(out)
+    return F.when(F.array_contains("_took", tree[None]), F.lit(None)).otherwise(out) if None in tree else out
+
+
+def _sources(tree: Mapping) -> list[str]:
+    return [s for k, t in tree.items() for s in ([t] if k is None else _sources(t))]
 
 
 def _files(records: DataFrame) -> DataFrame:

@@ -111,3 +111,33 @@ def test_ingest_rescues_and_promotes(spark):
             assert {f for f, v in p.items() if v is not None} == {*typed, *held} - ({"level"} if k in (1, 2) else set()) | ({"level"} if k == 1 else set()) | ({"niveau"} if k == 2 else set())
     assert D.ingest(records(spark, [(1, "f", 0, payloads)]).limit(0), target).count() == 0
     assert got.where(F.col("n").isNotNull()).count() == 1
+
+
+def test_promote_takes_a_path_only(spark):
+    target = {"level": "string", "part": "string", "topic": "string", "tags": "array<string>"}
+    payloads = [
+        {"level": {"code": "B1", "inferred": True}},
+        {"level": ["A1", "A2"]},
+        {"level": {"code": {"name": "C1", "by": None}, "inferred": None}},
+        {"part": ["x", "y", "z"]},
+        {"level": {"inferred": True}, "part": []},
+        {"words": ["a", "b"]},
+        {"level": [{"code": "B2", "n": 1.5}, None]},
+        {"level": "B1", "cefr": {"code": "A1"}},
+    ]
+    approved = {
+        "level.code": "level", "level.code.name": "level", "level[0]": "level", "level[0].code": "level", "cefr.code": "level",
+        "part[0]": "part", "part[1]": "topic", "words[0]": "topic", "words": "tags",
+    }
+    got = D.promote(D.ingest(records(spark, [(1, "f", 0, payloads)]), target), approved, target)
+    out = [(r.level, r.part, r.topic, r.tags, r._rescued and json.loads(r._rescued)) for r in got.orderBy("raw_id").collect()]
+    assert out == [
+        ("B1", None, None, None, {"level": {"inferred": True}}),
+        ("A1", None, None, None, {"level": ["A2"]}),
+        ("C1", None, None, None, {"level": {"code": {"by": None}, "inferred": None}}),
+        (None, "x", "y", None, {"part": ["z"]}),
+        (None, None, None, None, {"level": {"inferred": True}, "part": []}),
+        (None, None, "a", None, {"words": ["b"]}),
+        ("B2", None, None, None, {"level": [{"n": 1.5}, None]}),
+        ("B1", None, None, None, {"cefr": {"code": "A1"}}),
+    ]
