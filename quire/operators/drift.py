@@ -27,6 +27,9 @@ TARGET = {
 #: A removed and an added field are one renamed field from this likeness of their values on.
 LIKENESS = 0.3
 
+#: More pairs of names than this aren't taken to the driver.
+MOST_RENAMES = 10_000
+
 
 def kind(value: Column) -> Column:
     """The JSON type of a variant: string, number, boolean, array, object; null of a null."""
@@ -84,32 +87,42 @@ def _columns(rows: DataFrame, target: Mapping[str, str], keys: tuple[str, ...])
     return got.select(*keys, *target, rescued.alias("_rescued"))
 
 
-def promote(ingested: DataFrame, approved: Mapping[str, str], target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",)) -> DataFrame:
+def promote(ingested: DataFrame, approved: Mapping[str | tuple[str, ...], str], target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",)) -> DataFrame:
     """Replay rescued values: each approved name's value goes into its column where that is empty and it fits.
 
     ``approved`` maps a name found in ``_rescued`` to a column of the target schema, or to a dotted path's
     column as in ``{"level.code": "level"}`` for a field of a rescued object, or ``{"level[0]": "level"}``
-    for an element of a rescued array; the first that fits is taken. What was replayed leaves ``_rescued``;
+    for an element of a rescued array, or ``{("part.label", "part.no"): "part"}`` for several that make one
+    text, with a space between, where all are there; the first that fits is taken. What was replayed leaves ``_rescued``;
     all else stays: the other members of an object and the other elements of an array under their name, which
     goes when nothing of it is left. Paths count in the values as rescued, so a path that overlaps one
     replayed before it isn't replayed.
     """
-    steps = {source: _steps(source) for source in approved}
+    paths = {source: [source] if isinstance(source, str) else list(source) for source in approved}
+    steps = {path: _steps(path) for of in paths.values() for path in of}
     rows = ingested.withColumn("_fields", F.from_json("_rescued", "map<string,variant>")).withColumn("_took", F.array().cast("array<string>"))
-    for part in _apart(approved, steps):
+    before: list[str] = []
+    for part in _apart(approved, paths, steps):
         values = {}
         for k, source in enumerate(part):
-            name = steps[source][0]
-            value = _fits(F.try_variant_get(F.col("_fields")[name], "$" + source[len(name) :], "variant"), target[approved[source]])
-            over = [other for other in approved if other not in part and approved[other] != approved[source] and _overlap(steps[other], steps[source])]
+            got = [F.try_variant_get(F.col("_fields")[steps[p][0]], "$" + p[len(steps[p][0]) :], "variant") for p in paths[source]]
+            if len(got) == 1:
+                value = _fits(got[0], target[approved[source]])
+            else:
+                texts = [_fits(v, "string") for v in got]
+                joined = F.when(F.array_size(F.array_compact(F.array(*texts))) == len(texts), F.concat_ws(" ", *texts))
+                value = joined.cast(target[approved[source]])
+            over = [p for p in before if any(_overlap(steps[p], steps[q]) for q in paths[source])]
             values[f"_v{k}"] = F.when(~F.arrays_overlap("_took", F.array(*map(F.lit, over))), value) if over else value
         rows = rows.withColumns(values)
-        ways: dict[str, list[tuple[str, str]]] = {}
+        ways: dict[str, list[tuple[str, list[str]]]] = {}
         for v, source in zip(values, part):
-            ways.setdefault(approved[source], []).append((v, source))
-        which = [F.when(F.col(c).isNull(), F.coalesce(*[F.when(F.col(v).isNotNull(), F.lit(source)) for v, source in of])) for c, of in ways.items()]
-        filled = {c: F.coalesce(c, *[v for v, _ in of]) for c, of in ways.items()}
-        rows = rows.withColumns({"_took": F.concat("_took", F.array_compact(F.array(*which))), **filled}).drop(*values)
+            ways.setdefault(approved[source], []).append((v, paths[source]))
+        none = F.array().cast("array<string>")
+        which = [F.when(F.col(c).isNull(), F.coalesce(*[F.when(F.col(v).isNotNull(), F.array(*map(F.lit, of))) for v, of in found], none)).otherwise(none) for c, found in ways.items()]
+        filled = {c: F.coalesce(c, *[v for v, _ in found]) for c, found in ways.items()}
+        rows = rows.withColumns({"_took": F.concat("_took", *which), **filled}).drop(*values)
+        before += [p for source in part for p in paths[source]]
     tree: dict = {}
     for source, path in steps.items():
         at = tree
@@ -134,11 +147,12 @@ def _overlap(a: tuple[str | int, ...], b: tuple[str | int, ...]) -> bool:
     return a[: len(b)] == b[: len(a)]
 
 
-def _apart(approved: Mapping[str, str], steps: Mapping[str, tuple[str | int, ...]]) -> list[list[str]]:
-    """The approved paths in their order, in parts within which no two of different columns overlap."""
-    parts: list[list[str]] = [[]]
+def _apart(approved: Mapping, paths: Mapping, steps: Mapping) -> list[list]:
+    """The approved names in their order, in parts within which no two of different columns overlap."""
+    parts: list[list] = [[]]
     for source in approved:
-        if any(approved[other] != approved[source] and _overlap(steps[other], steps[source]) for other in parts[-1]):
+        others = [o for o in parts[-1] if approved[o] != approved[source]]
+        if any(_overlap(steps[p], steps[q]) for o in others for p in paths[o] for q in paths[source]):
             parts.append([])
         parts[-1].append(source)
     return parts
@@ -175,6 +189,32 @@ def _sources(tree: Mapping) -> list[str]:
     return [s for k, t in tree.items() for s in ([t] if k is None else _sources(t))]
 
 
+def aliases(found: DataFrame, approved: Mapping[str, str], target: Mapping[str, str] = TARGET) -> dict[str, str]:
+    """``approved`` and each further name that renames among ``changes`` tie to one column of the target schema.
+
+    Renames count in both directions and over several steps, but not through a column of the target schema.
+    A name that is tied to two columns isn't approved. Of pairs of names there are few, whatever the number
+    of files; more than MOST_RENAMES of them raise an error.
+    """
+    pairs = found.where("change = 'renamed'").select("field_before", "field_after").distinct().limit(MOST_RENAMES + 1).collect()
+    if len(pairs) > MOST_RENAMES:
+        raise ValueError(f"more than {MOST_RENAMES} pairs of renamed fields")
+    near: dict[str, set[str]] = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    tied: dict[str, set[str]] = {}
+    for column in sorted({*target, *approved.values()}):
+        seen, ahead = {column}, [column, *[name for name, c in approved.items() if c == column]]
+        while ahead:
+            new = {n for n in near.get(ahead.pop(), ()) if n not in seen and n not in target and n not in approved}
+            seen |= new
+            ahead += new
+        for name in seen - {column}:
+            tied.setdefault(name, set()).add(column)
+    return {**approved, **{name: min(columns) for name, columns in sorted(tied.items()) if len(columns) == 1 and not re.search(r"[.\[\]]", name)}}
+
+
 def _files(records: DataFrame) -> DataFrame:
     """feed_id, file_name, before, after: each file with its neighbours in its feed, by time and name.
 

@@ -485,17 +485,37 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 #: Names that were approved as another name of a column of the target schema.
 APPROVED = {
     "niveau": "level", "Level": "level", "level_code": "level", "stufe": "level", "cefr": "level", "cefrLevel": "level",
-    "level.code": "level", "level[0]": "level", "theme": "topic", "thema": "topic", "part_label": "part", "partie": "part",
+    "theme": "topic", "thema": "topic", "part_label": "part", "partie": "part",
     "Part": "part", "teil": "part", "exercise_group": "part", "groupLabel": "part", "kapitel": "chapter", "chapitre": "chapter",
     "Chapter": "chapter", "lesson": "chapter", "chapter_name": "chapter", "unit_title": "chapter", "page_no": "source_page", "sourcePage": "source_page", "desc": "summary",
 }
 
+#: Where a column's value stands in objects and arrays of its own or another name; several paths make one text.
+#: A chapter is known by its number, as in most records; its title then stays in ``_rescued``.
+FORMS = {
+    "level": [(".code",), ("[0]",)],
+    "part": [(".label", ".no"), (".label",), (".no",), ("[0]",)],
+    "chapter": [(".no",), (".title",), ("[0]",)],
+}
+
+
+def _approved(names: dict[str, str]) -> dict[str | tuple[str, ...], str]:
+    """The names, and the paths of all forms of each of them and of the columns themselves."""
+    out: dict[str | tuple[str, ...], str] = dict(names)
+    for name, column in {**{c: c for c in FORMS}, **names}.items():
+        for form in FORMS.get(column, ()):
+            paths = tuple(name + path for path in form)
+            out[paths if len(paths) > 1 else paths[0]] = column
+    return out
+
 
 @query()
 def p6_table(spark: SparkSession, folder: str) -> DataFrame:
-    """All records in one consistent table, approved names replayed, the rest kept as JSON."""
+    """All records in one consistent table, approved names and renames found replayed, the rest kept as JSON."""
     keys = ("raw_id", "feed_id", "sheet", "collection", "file_name")
-    return drift.promote(drift.ingest(table(spark, folder, "raw_records"), keys=keys), APPROVED, keys=keys)
+    records = table(spark, folder, "raw_records")
+    names = drift.aliases(drift.changes(records), APPROVED)
+    return drift.promote(drift.ingest(records, keys=keys), _approved(names), keys=keys)
 
 
 FLAGSHIP: Query = book_counts

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from quire.operators import drift as D
+from quire.plans import queries as Q
 
 from .conftest import rows
 
@@ -141,3 +142,29 @@ def test_promote_takes_a_path_only(spark):
         ("B2", None, None, None, {"level": [{"n": 1.5}, None]}),
         ("B1", None, None, None, {"cefr": {"code": "A1"}}),
     ]
+
+
+def test_table_replays_all_forms_and_renames(spark, tmp_path):
+    payloads = [
+        {"part": {"label": "Teil", "no": 9}, "chapter": {"no": 2, "title": "Beim Arzt"}, "Level": {"code": "B1", "inferred": True}},
+        {"groupLabel": ["Aufgabe 6"], "kapitel": ["3", "Ferien"], "niveau": ["A2"]},
+        {"exercise_group": {"no": 4}, "lesson": {"title": "Ferien"}, "cefr": {"code": "C1"}},
+        {"partie": {"label": "Partie"}, "chapter": 3, "level": ["B2"]},
+    ]
+    files = [(1, "f", 0, payloads), (2, "a", 0, [{"level": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)]), (2, "b", 1, [{"grade": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)]), (2, "c", 2, [{"rank": {"code": "B2"}}])]
+    raw = records(spark, files).withColumns({"sheet": F.lit("s"), "collection": F.lit("c")})
+    raw.write.parquet(str(tmp_path / "raw_records.parquet"))
+    got = Q.p6_table(spark, str(tmp_path)).orderBy("raw_id").collect()
+    assert [(r.part, r.chapter, r.level, r._rescued and json.loads(r._rescued)) for r in got[:4]] == [
+        ("Teil 9", "2", "B1", {"chapter": {"title": "Beim Arzt"}, "Level": {"inferred": True}}),
+        ("Aufgabe 6", "3", "A2", {"kapitel": ["Ferien"]}),
+        ("4", "Ferien", "C1", None),
+        ("Partie", "3", "B2", None),
+    ]
+    assert [r.level for r in got[8:12]] == ["A1", "A2", "A1", "A2"]  # grade, by its rename
+
+
+def test_aliases_are_of_one_column(spark):
+    renamed = [("level", "grade"), ("grade", "rank"), ("both", "rank2"), ("part", "both"), ("topic", "both"), ("summary", "topic"), ("niveau", "stufe")]
+    found = spark.createDataFrame([(1, "f", "renamed", a, b) for a, b in renamed] + [(1, "f", "added", "", "x")], "feed_id long, file_name string, change string, field_before string, field_after string")
+    assert D.aliases(found, {"niveau": "level"}) == {"niveau": "level", "grade": "level", "rank": "level", "stufe": "level"}
