@@ -19,6 +19,8 @@ from quire.session import cut
 LEAST, TIMES, BEYOND = 5, 1.5, 0.1
 #: By the lengths of all sources so many values would be beyond it, and at least this share of these is at it.
 MISSED, MOVED = 4.0, 0.4
+#: Where fewer than MISSED would be beyond it, the pile-up alone decides: so many values at it, and so many times as many as at the lengths before it.
+ALONE, TIMES_ALONE = 20, 8.0
 #: So many lengths before the limit tell how many values would be expected at it.
 BEFORE = 8
 
@@ -66,7 +68,10 @@ def limits(rows: DataFrame) -> DataFrame:
     every = Window.partitionBy("kind", "encoding")
     whole = whole.withColumn("tail", F.coalesce(F.sum("all").over(every.orderBy("length").rangeBetween(1, Window.unboundedFollowing)), F.lit(0)) / F.sum("all").over(every)).drop("all")
     counted = counted.withColumn("n", F.sum("count").over(by)).join(whole, ["kind", "encoding", "length"]).withColumn("expected", F.col("n") * F.col("tail"))
-    counted = counted.where((F.col("expected") >= MISSED) & (F.col("count") >= MOVED * F.col("expected")))
+    told = (F.col("expected") >= MISSED) & (F.col("count") >= MOVED * F.col("expected"))
+    # With one source, or one limit in all of them, nothing is longer anywhere.
+    alone = (F.col("expected") < MISSED) & (F.col("count") >= ALONE) & (F.col("count") >= TIMES_ALONE * (F.col("before") + 0.5))
+    counted = counted.where(told | alone)
     sharp = counted.where((F.col("count") >= LEAST) & (F.col("count") >= TIMES * (F.col("before") + 0.5)) & (F.col("beyond") <= BEYOND * F.col("count")))
     score = F.struct((F.col("count") - 2 * F.col("beyond")).alias("score"), (-F.col("order")).alias("order"), "encoding", F.col("length").alias("limit"), F.col("count").alias("at"), "beyond")
     best = sharp.groupBy("kind", "source").agg(F.max(score).alias("b"))

@@ -85,3 +85,11 @@ def test_edges(spark):
     assert [(r[0], r[1]) for r in rows(T.inspect(df).select("row_id", "cut"))] == [(1, False), (2, False), (3, False), (4, False), (5, False), (6, False), (7, True), (8, True)]
     assert T.inspect(df.limit(0)).count() == 0 and T.limits(df.limit(0)).count() == 0
     assert rows(T.by_source(df).where("source is null").select("n", "n_cut")) == [(2, 0)]
+
+
+def test_a_limit_of_the_only_source(spark):
+    r = random.Random(5)
+    values = [shortened(value(r), len, 44) for _ in range(2000)]
+    whole = [value(r) for _ in range(2000)]
+    df = spark.createDataFrame([("x", "s", v) for v in values] + [("y", "s", v) for v in whole], "kind string, source string, text string")
+    assert rows(T.limits(df).select("kind", "encoding", "limit")) == [("x", "characters", 44)]
