@@ -211,8 +211,10 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
 def cleaner(texts: DataFrame, text: str = "text"):
     """A function of a text column that gives its consistent form, with the trigrams of all ``texts``."""
     counts = trigram_counts(texts.select(F.col(text).alias("text")))
-    # Alphabets are bounded, and so are their trigrams; a count above the bound keeps the most frequent.
-    model = [tuple(r) for r in counts.orderBy(F.desc("n"), "script", "gram").limit(MOST_TRIGRAMS).collect()]
+    # Alphabets are bounded, and so are their trigrams; none is left out.
+    model = [tuple(r) for r in counts.limit(MOST_TRIGRAMS + 1).collect()]
+    if len(model) > MOST_TRIGRAMS:
+        raise ValueError(f"more than {MOST_TRIGRAMS} different trigrams")
     held = texts.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")

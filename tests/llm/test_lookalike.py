@@ -40,3 +40,10 @@ def test_lattice_prefers_the_script_of_known_words():
     counts = [("Latin", g, 50) for w in ("^^kaffee$", "^^tee$") for g in (w[k : k + 3] for k in range(len(w) - 2))] + [("Cyrillic", g, 50) for w in ("^^кофе$",) for g in (w[k : k + 3] for k in range(len(w) - 2))]
     t = L.Trigrams(counts)
     assert t.clean("Tее") == "Tee" and t.clean("кофе") == "кофе" and t.clean("Tee кофе") == "Tee кофе"
+
+
+def test_no_trigram_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_TRIGRAMS", 5)
+    L.cleaner(spark.createDataFrame([("abc",)], "text string"))
+    with pytest.raises(ValueError):
+        L.cleaner(spark.createDataFrame([("abcdefgh",)], "text string"))
