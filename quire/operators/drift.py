@@ -256,7 +256,7 @@ def _features(kind_: Column, text: Column) -> Column:
     names = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r'"([^"]+)":'), F.lit(1)))), ",")
     shape = F.when(kind_ == "object", names).otherwise(shape)
     words = F.array_distinct(F.filter(F.split(F.lower(F.regexp_replace(text, r"\p{N}", "9")), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    return F.concat(F.array(F.concat(F.lit("s"), F.substring(shape, 1, 200))), F.transform(words, lambda w: F.concat(F.lit("w"), w)))
+    return F.concat(F.array(F.concat(F.lit("s"), F.xxhash64(shape).cast("string"))), F.transform(words, lambda w: F.concat(F.lit("w"), w)))
 
 
 def changes(records: DataFrame, target: Mapping[str, str] = TARGET, likeness: float = LIKENESS) -> DataFrame:

@@ -168,3 +168,8 @@ def test_aliases_are_of_one_column(spark):
     renamed = [("level", "grade"), ("grade", "rank"), ("both", "rank2"), ("part", "both"), ("topic", "both"), ("summary", "topic"), ("niveau", "stufe")]
     found = spark.createDataFrame([(1, "f", "renamed", a, b) for a, b in renamed] + [(1, "f", "added", "", "x")], "feed_id long, file_name string, change string, field_before string, field_after string")
     assert D.aliases(found, {"niveau": "level"}) == {"niveau": "level", "grade": "level", "rank": "level", "stufe": "level"}
+
+
+def test_long_shapes_count_whole(spark):
+    files = [(1, "a", 0, [{"x": "ab " * 110 + "!", "n": 1}] * 2), (1, "b", 1, [{"y": "cd " * 110 + "?", "n": 1}] * 2)]
+    assert [r[2:] for r in changed(D.changes(records(spark, files)))] == [("added", "", "y"), ("removed", "x", "")]
