@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from quire.functions import urls as U
+from quire.plans import queries as Q
 
 
 def test_parts(one):
@@ -29,3 +30,9 @@ def test_links(one, spark):
     c = df.select(U.classify(F.col("p"), {"alpha": "alpha", "beta": "beta"}, {"lesen": "reading"}).alias("c")).collect()
     assert [(r.c.exam, r.c.level, r.c.section, r.c.content_type) for r in c] == [("alpha", "B1", "reading", ["exam-section"]), ("unknown", "unknown", None, ["blog-article"]), ("unknown", "unknown", None, ["landing"]), ("beta", "unknown", None, ["mock-test-info"])]
     assert one(U.sitemap_urls, "<loc> https://a/b </loc><loc>c</loc>") == ["https://a/b", "c"]
+
+
+def test_addresses_of_many_families(spark, tmp_path):
+    books = spark.range(1500).selectExpr("concat('f', lpad(id, 4, '0')) as family", "if(id % 2 = 0, 'A1', 'B1') as level", "concat('b', id) as slug")
+    books.write.parquet(str(tmp_path / "collections.parquet"))
+    assert Q.book_addresses(spark, str(tmp_path)).where("allowed").count() == 750
