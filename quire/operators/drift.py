@@ -2,8 +2,10 @@
 
 Ingestion with a rescue column: a record's fields go into the columns of a target schema where their
 name is known and their value fits; all else, unknown names and values that don't fit, is kept as JSON in
-``_rescued``. ``changes`` reports how the fields of each file differ from those of the file before it;
-``promote`` takes approved names out of the rescue column and replays their values into typed columns.
+``_rescued``. ``changes`` reports, from the ingested rows, how the fields of each file differ from those of
+the file before it. The renames it finds become the approved names, and the members of rescued objects and
+arrays whose values are like a column's become the approved paths; ``promote`` replays the values of both
+into the typed columns. ``consistent`` does all of this.
 """
 
 from __future__ import annotations
@@ -44,9 +46,9 @@ def kind(value: Column) -> Column:
     )
 
 
-def _fits(value: Column, type_name: str) -> Column:
-    """A variant in a column's type, or null where that would lose something."""
-    k = kind(value)
+def _fits(value: Column, type_name: str, k: Column | None = None) -> Column:
+    """A variant of the JSON type ``k`` in a column's type, or null where that would lose something."""
+    k = kind(value) if k is None else k
     if type_name == "string":
         return F.when(k.isin("string", "number"), F.try_variant_get(value, "$", "string"))
     if type_name in ("bigint", "double"):
@@ -66,25 +68,24 @@ def fields(payload: Column) -> Column:
     return F.map_filter(F.from_json(payload, "map<string,variant>"), lambda _, v: ~F.is_variant_null(v))
 
 
-def ingest(records: DataFrame, target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",), payload: str = "payload") -> DataFrame:
+def ingest(records: DataFrame, target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",), payload: str = "payload", kinds: bool = False) -> DataFrame:
     """keys, a column for each field of ``target``, and ``_rescued``: JSON of all fields that found no column.
 
     A JSON null is as if the field weren't there. A value that doesn't fit its column leaves it null and
     is rescued under its name. A payload that is no JSON object is rescued whole under ``_corrupt``; a null
-    one gives nulls. Of a name given twice the first value is used. The scan is one narrow pass.
+    one gives nulls. Of a name given twice the first value is used. With ``kinds`` there is ``_kinds`` too,
+    the JSON type of each field as it was written, typed or rescued; it is null for a payload that is no
+    object. The scan is one narrow pass that parses each payload once.
     """
     rows = records.select(*keys, F.col(payload).alias("_payload"), fields(F.col(payload)).alias("_fields"))
-    return _columns(rows, target, keys)
-
-
-def _columns(rows: DataFrame, target: Mapping[str, str], keys: tuple[str, ...]) -> DataFrame:
-    typed = [_fits(F.col("_fields")[name], t).alias(name) for name, t in target.items()]
-    got = rows.select(*keys, "_payload", "_fields", *typed)
+    rows = rows.withColumn("_kinds", F.transform_values("_fields", lambda _, v: kind(v)))
+    typed = [_fits(F.col("_fields")[name], t, F.col("_kinds")[name]).alias(name) for name, t in target.items()]
+    got = rows.select(*keys, "_payload", "_fields", "_kinds", *typed)
     lost = [F.when(F.col(name).isNotNull(), F.lit(name)) for name in target]
     rest = F.map_filter("_fields", lambda k, _: ~F.coalesce(F.array_contains(F.array_compact(F.array(*lost)), k), F.lit(False)))
     whole = F.when(F.col("_payload").isNotNull(), F.to_json(F.create_map(F.lit("_corrupt"), F.col("_payload"))))
     rescued = F.when(F.col("_fields").isNull(), whole).when(F.size(rest) > 0, F.to_json(rest))
-    return got.select(*keys, *target, rescued.alias("_rescued"))
+    return got.select(*keys, *target, rescued.alias("_rescued"), *(["_kinds"] if kinds else []))
 
 
 def promote(ingested: DataFrame, approved: Mapping[str | tuple[str, ...], str], target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",)) -> DataFrame:
@@ -189,7 +190,7 @@ def _sources(tree: Mapping) -> list[str]:
     return [s for k, t in tree.items() for s in ([t] if k is None else _sources(t))]
 
 
-def aliases(found: DataFrame, approved: Mapping[str, str], target: Mapping[str, str] = TARGET) -> dict[str, str]:
+def aliases(found: DataFrame, approved: Mapping[str, str] = {}, target: Mapping[str, str] = TARGET) -> dict[str, str]:
     """``approved`` and each further name that renames among ``changes`` tie to one column of the target schema.
 
     Renames count in both directions and over several steps, but not through a column of the target schema.
@@ -237,17 +238,27 @@ def _files(records: DataFrame) -> DataFrame:
     return near
 
 
-def observed(records: DataFrame, target: Mapping[str, str] = TARGET) -> DataFrame:
-    """feed_id, file_name, field, kind, text: each non-null field of each record, as written.
+def observed(ingested: DataFrame, target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("feed_id", "file_name")) -> DataFrame:
+    """keys, field, kind, text, known: each non-null field of each ingested record, with the JSON type it was written in.
 
-    The fields are read as in ``ingest``; ``known`` tells whether the field found its column or was rescued.
+    ``ingested`` comes from ``ingest`` with ``kinds``. ``known`` fields were found in their typed column,
+    the others in ``_rescued``; together they are all fields of the record.
     """
-    rows = records.select("feed_id", "file_name", F.explode(fields(F.col("payload"))).alias("field", "_value"))
-    fit = F.lit(False)
-    for name, t in target.items():
-        fit = F.when(F.col("field") == name, _fits(F.col("_value"), t).isNotNull()).otherwise(fit)
-    k = kind(F.col("_value"))
-    return rows.select("feed_id", "file_name", "field", k.alias("kind"), F.when(k == "string", F.try_variant_get("_value", "$", "string")).otherwise(F.to_json("_value")).alias("text"), fit.alias("known"))
+    none = F.lit(None).cast("string")
+
+    def cell(name: str, type_name: str) -> Column:
+        text = F.to_json(name) if type_name.startswith("array") else F.col(name).cast("string")
+        return F.struct(F.lit(name).alias("field"), F.when(F.col(name).isNotNull(), F.col("_kinds")[name]).otherwise(none).alias("kind"), text.alias("text"), F.lit(True).alias("known"))
+
+    def saved(e: Column) -> Column:
+        k = F.col("_kinds")[e["key"]]
+        text = F.when(k == "string", F.try_variant_get(e["value"], "$", "string")).otherwise(F.to_json(e["value"]))
+        return F.struct(e["key"].alias("field"), k.alias("kind"), text.alias("text"), F.lit(False).alias("known"))
+
+    typed = F.array(*[cell(n, t) for n, t in target.items()])
+    rest = F.transform(F.map_entries(F.from_json(F.when(F.col("_kinds").isNotNull(), F.col("_rescued")), "map<string,variant>")), saved)
+    both = F.concat(typed, F.coalesce(rest, F.array().cast("array<struct<field:string,kind:string,text:string,known:boolean>>")))
+    return ingested.select(*keys, F.explode(both).alias("_e")).select(*keys, "_e.*").where("kind is not null")
 
 
 def _features(kind_: Column, text: Column) -> Column:
@@ -262,17 +273,23 @@ def _features(kind_: Column, text: Column) -> Column:
 def changes(records: DataFrame, target: Mapping[str, str] = TARGET, likeness: float = LIKENESS) -> DataFrame:
     """feed_id, file_name, change, field_before, field_after: every change of a file against the one before it in its feed.
 
-    ``records`` has feed_id, file_name, written_at and payload; other columns aren't read. A file has a field
+    ``records`` has feed_id, file_name, written_at and payload; other columns aren't read. The records are
+    ingested first, and the report is made of their typed columns and ``_rescued``. A file has a field
     if one of its records holds it with a non-null value, and its type is that of most of these values. The
     first file of a feed has no changes, and a payload that is no JSON object has no fields. A removed and
     an added field of one type whose values are alike in shape and words, each the best match of the other,
     are one ``renamed`` field. Repeated records weigh as often as they stand; nothing is dropped or sampled.
     """
-    held = records.select("feed_id", "file_name", "written_at", "payload")
-    near = _files(held)
-    seen = observed(held, target)
+    return changes_in(cut(ingest(records, target, ("feed_id", "file_name", "written_at"), kinds=True)), target, likeness)
+
+
+def changes_in(ingested: DataFrame, target: Mapping[str, str] = TARGET, likeness: float = LIKENESS) -> DataFrame:
+    """``changes`` of records that are ingested already, with ``kinds``; feed_id, file_name and written_at are among their keys."""
+    near = _files(ingested)
+    seen = observed(ingested, target)
     of_file = (
-        seen.groupBy("feed_id", "file_name", "field", "kind")
+        ingested.select("feed_id", "file_name", F.explode("_kinds").alias("field", "kind"))
+        .groupBy("feed_id", "file_name", "field", "kind")
         .count()
         .groupBy("feed_id", "file_name", "field")
         .agg(F.max_by("kind", F.struct("count", "kind")).alias("kind"))
@@ -323,3 +340,69 @@ def _renames(seen: DataFrame, added: DataFrame, removed: DataFrame, likeness: fl
     first = score.groupBy(*names, "removed").agg(F.max_by("added", F.struct("score", "added")).alias("added"))
     back = score.groupBy(*names, "added").agg(F.max_by("removed", F.struct("score", "removed")).alias("removed"))
     return first.join(back, [*names, "removed", "added"])
+
+
+def forms(ingested: DataFrame, names: Mapping[str, str], target: Mapping[str, str] = TARGET, likeness: float = LIKENESS) -> dict[str, list[tuple[str, ...]]]:
+    """For each column the paths into rescued objects and arrays whose values are like those it holds, the likest first.
+
+    ``names`` are other names of columns; a rescued value under one of these or the column's own name is
+    looked at. A path is a member (``(".code",)``), the first element (``("[0]",)``), or two members that make
+    one text (``(".label", ".no")``); likeness is that of ``changes``, over all values. Columns and the members
+    of their objects are few; more than MOST_RENAMES paths raise an error.
+    """
+    spark = ingested.sparkSession
+    column_of = {**{n: n for n in target}, **names}
+    known = spark.createDataFrame(sorted(column_of.items()), "field string, column string")
+    held = observed(ingested, target, ()).join(F.broadcast(known), "field")  # one row for each known name
+    rescued = held.where("not known and kind in ('object', 'array')").withColumn("_v", F.try_parse_json("text"))
+    scalar = lambda v: F.when(kind(v).isin("string", "number"), F.try_variant_get(v, "$", "string"))
+    members = F.filter(F.transform(F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("m"), scalar(e["value"]).alias("t"))), lambda e: e["t"].isNotNull() & ~e["m"].rlike(r"[.\[\]]"))
+    one = F.transform(members, lambda e: F.struct(F.array(F.concat(F.lit("."), e["m"])).alias("path"), e["t"].alias("t")))
+    two = F.flatten(F.transform(members, lambda e: F.transform(F.filter(members, lambda o: o["m"] != e["m"]), lambda o: F.struct(F.array(F.concat(F.lit("."), e["m"]), F.concat(F.lit("."), o["m"])).alias("path"), F.concat_ws(" ", e["t"], o["t"]).alias("t")))))
+    first = F.filter(F.array(F.struct(F.array(F.lit("[0]")).alias("path"), scalar(F.try_variant_get("_v", "$[0]", "variant")).alias("t"))), lambda e: e["t"].isNotNull())
+    none = F.array().cast("array<struct<path:array<string>,t:string>>")
+    ways = F.when(F.col("kind") == "object", F.concat(F.coalesce(one, none), F.coalesce(two, none))).otherwise(first)
+    tried = rescued.select("column", F.explode(ways).alias("_w")).select("column", F.col("_w.path").alias("path"), F.col("_w.t").alias("text"))
+    asked = cut(_shares(tried, ["column", "path"]))
+    typed = held.where("known and kind in ('string', 'number')").join(F.broadcast(asked.select("column").distinct()), "column", "left_semi")
+    own = _shares(typed.select("column", "text"), ["column"]).select("column", "feature", F.col("p").alias("q"))
+    like = F.least("p", "q")
+    score = asked.join(own, ["column", "feature"]).groupBy("column", "path").agg(F.greatest(F.sum(like) / 2, F.sum(F.when(F.col("feature").startswith("w"), like).otherwise(0.0))).alias("score"), F.sum(like).alias("all"))
+    rows = score.where(F.col("score") >= likeness).limit(MOST_RENAMES + 1).collect()
+    if len(rows) > MOST_RENAMES:
+        raise ValueError(f"more than {MOST_RENAMES} paths")
+    out: dict[str, list[tuple[str, ...]]] = {}
+    for r in sorted(rows, key=lambda r: (r.column, -round(r.score, 6), -round(r.all, 6), r.path)):  # equal words in another order differ in shape
+        out.setdefault(r.column, []).append(tuple(r.path))
+    return out
+
+
+def _shares(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, feature, p: the features of all texts of a key, with their share among its shapes or its words."""
+    counts = texts.select(*keys, F.explode(_features(F.lit("string"), F.col("text"))).alias("feature")).groupBy(*keys, "feature").count().withColumn("_sort", F.substring("feature", 1, 1))
+    whole = counts.groupBy(*keys, "_sort").agg(F.sum("count").alias("_all"))
+    return counts.join(whole, [*keys, "_sort"]).select(*keys, "feature", (F.col("count") / F.col("_all")).alias("p"))
+
+
+def paths(names: Mapping[str, str], of: Mapping[str, list[tuple[str, ...]]]) -> dict[str | tuple[str, ...], str]:
+    """The approved names, and the paths of all forms of each of them and of the columns themselves, as ``promote`` takes them."""
+    out: dict[str | tuple[str, ...], str] = dict(names)
+    for name, column in {**{c: c for c in of}, **names}.items():
+        for form in of.get(column, ()):
+            way = tuple(name + path for path in form)
+            out[way if len(way) > 1 else way[0]] = column
+    return out
+
+
+def consistent(records: DataFrame, target: Mapping[str, str] = TARGET, keys: tuple[str, ...] = ("raw_id",), names: Mapping[str, str] | None = None, of: Mapping[str, list[tuple[str, ...]]] | None = None) -> DataFrame:
+    """keys, the columns of ``target`` and ``_rescued`` of all records: ingested, then replayed under what was approved.
+
+    ``names`` (other names of columns) and ``of`` (paths, as ``forms`` gives them) are taken as given; where
+    they are None, they come from the records: names that the renames between files tie to one column, and
+    paths whose values are like the column's. ``records`` has feed_id, file_name and written_at, as for
+    ``changes``. Each payload is parsed once.
+    """
+    rows = cut(ingest(records, target, tuple(dict.fromkeys((*keys, "feed_id", "file_name", "written_at"))), kinds=True))
+    names = aliases(changes_in(rows, target), {}, target) if names is None else names
+    of = forms(rows, names, target) if of is None else of
+    return promote(rows, paths(names, of), target, keys)

@@ -483,40 +483,47 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return drift.changes(table(spark, folder, "raw_records"))
 
 
-#: Names that were approved as another name of a column of the target schema.
-APPROVED = {
-    "niveau": "level", "Level": "level", "level_code": "level", "stufe": "level", "cefr": "level", "cefrLevel": "level",
-    "theme": "topic", "thema": "topic", "part_label": "part", "partie": "part",
-    "Part": "part", "teil": "part", "exercise_group": "part", "groupLabel": "part", "kapitel": "chapter", "chapitre": "chapter",
-    "Chapter": "chapter", "lesson": "chapter", "chapter_name": "chapter", "unit_title": "chapter", "page_no": "source_page", "sourcePage": "source_page", "desc": "summary",
-}
-
-#: Where a column's value stands in objects and arrays of its own or another name; several paths make one text.
-#: A chapter is known by its number, as in most records; its title then stays in ``_rescued``.
-FORMS = {
-    "level": [(".code",), ("[0]",)],
-    "part": [(".label", ".no"), (".label",), (".no",), ("[0]",)],
-    "chapter": [(".no",), (".title",), ("[0]",)],
-}
-
-
-def _approved(names: dict[str, str]) -> dict[str | tuple[str, ...], str]:
-    """The names, and the paths of all forms of each of them and of the columns themselves."""
-    out: dict[str | tuple[str, ...], str] = dict(names)
-    for name, column in {**{c: c for c in FORMS}, **names}.items():
-        for form in FORMS.get(column, ()):
-            paths = tuple(name + path for path in form)
-            out[paths if len(paths) > 1 else paths[0]] = column
-    return out
-
-
 @query()
 def p6_table(spark: SparkSession, folder: str) -> DataFrame:
-    """All records in one consistent table, approved names and renames found replayed, the rest kept as JSON."""
-    keys = ("raw_id", "feed_id", "sheet", "collection", "file_name")
-    records = table(spark, folder, "raw_records")
-    names = drift.aliases(drift.changes(records), APPROVED)
-    return drift.promote(drift.ingest(records, keys=keys), _approved(names), keys=keys)
+    """All records in one consistent table: renames found and forms of values replayed, the rest kept as JSON."""
+    return drift.consistent(table(spark, folder, "raw_records"), keys=("raw_id", "feed_id", "sheet", "collection", "file_name"))
+
+
+#: A fixed map of names for the comparison with SQL.
+RENAMED = {"niveau": "level", "stufe": "level", "partie": "part", "teil": "part", "kapitel": "chapter", "chapitre": "chapter", "theme": "topic"}
+
+
+def _typed_sql() -> str:
+    """The rules of the target schema in SQL: what fits its column, and the names of what doesn't."""
+    of = lambda name: f"(payload::json -> '$.\"{name}\"')"
+    fit = {
+        "string": lambda n: f"case when json_type({of(n)}) in ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') then {of(n)} ->> '$' end",
+        "bigint": lambda n: f"case when json_type({of(n)}) in ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') and try_cast({of(n)} ->> '$' as double) = floor(try_cast({of(n)} ->> '$' as double)) then cast(try_cast({of(n)} ->> '$' as double) as bigint) end",
+        "double": lambda n: f"case when json_type({of(n)}) in ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') then try_cast({of(n)} ->> '$' as double) end",
+        "boolean": lambda n: f"case when json_type({of(n)}) = 'BOOLEAN' then cast({of(n)} ->> '$' as boolean) end",
+        "array<string>": lambda n: f"case when json_type({of(n)}) = 'ARRAY' then array_to_string(cast({of(n)} as varchar[]), '|') end",
+    }
+    own = ", ".join(f"{fit[t](n)} as {n}" for n, t in drift.TARGET.items())
+    other = ", ".join(f"{fit[drift.TARGET[c]](n)} as \"_{n}\"" for n, c in RENAMED.items())
+    full = {c: "coalesce(" + ", ".join([c, *[f'"_{n}"' for n, o in RENAMED.items() if o == c]]) + ")" for c in dict.fromkeys(RENAMED.values())}
+    columns = ", ".join(f"{full.get(c, c)} as {c}" for c in drift.TARGET)
+    # Fields that found their column, and other names whose value was the first to fill one.
+    took = [f"case when {c} is not null then '{c}' end" for c in drift.TARGET]
+    for c in full:
+        names = [n for n, o in RENAMED.items() if o == c]
+        took.append(f"case when {c} is null then case " + " ".join(f"when \"_{n}\" is not null then '{n}'" for n in names) + " end end")
+    return f"""
+with typed as (select raw_id, payload, {own}, {other} from raw_records),
+names as (select *, list_filter(json_keys(payload::json), lambda k: json_type(payload::json -> ('$."' || k || '"')) <> 'NULL' and not list_contains([{", ".join(took)}], k)) as rest from typed)
+select raw_id, {columns}, array_to_string(list_sort(list_distinct(rest)), ',') as rescued from names"""
+
+
+@query(_typed_sql())
+def p6_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """Records ingested and replayed under a fixed map of names, and the names of the fields that stay rescued."""
+    got = drift.promote(drift.ingest(table(spark, folder, "raw_records")), RENAMED)
+    left = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued", "map<string,string>"))), ",")
+    return got.select("raw_id", *[F.array_join(c, "|").alias(c) if t.startswith("array") else c for c, t in drift.TARGET.items()], F.coalesce(left, F.lit("")).alias("rescued"))
 
 
 FLAGSHIP: Query = book_counts

@@ -144,24 +144,53 @@ def test_promote_takes_a_path_only(spark):
     ]
 
 
-def test_table_replays_all_forms_and_renames(spark, tmp_path):
+NAMES = {"Level": "level", "niveau": "level", "cefr": "level", "groupLabel": "part", "exercise_group": "part", "partie": "part", "kapitel": "chapter", "lesson": "chapter", "grade": "level"}
+FORMS = {"level": [(".code",), ("[0]",)], "part": [(".label", ".no"), (".label",), (".no",), ("[0]",)], "chapter": [(".no",), (".title",), ("[0]",)]}
+
+
+def test_table_replays_all_forms_and_renames(spark):
     payloads = [
         {"part": {"label": "Teil", "no": 9}, "chapter": {"no": 2, "title": "Beim Arzt"}, "Level": {"code": "B1", "inferred": True}},
         {"groupLabel": ["Aufgabe 6"], "kapitel": ["3", "Ferien"], "niveau": ["A2"]},
         {"exercise_group": {"no": 4}, "lesson": {"title": "Ferien"}, "cefr": {"code": "C1"}},
         {"partie": {"label": "Partie"}, "chapter": 3, "level": ["B2"]},
     ]
-    files = [(1, "f", 0, payloads), (2, "a", 0, [{"level": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)]), (2, "b", 1, [{"grade": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)]), (2, "c", 2, [{"rank": {"code": "B2"}}])]
-    raw = records(spark, files).withColumns({"sheet": F.lit("s"), "collection": F.lit("c")})
-    raw.write.parquet(str(tmp_path / "raw_records.parquet"))
-    got = Q.p6_table(spark, str(tmp_path)).orderBy("raw_id").collect()
+    files = [(1, "f", 0, payloads), (2, "a", 0, [{"level": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)]), (2, "b", 1, [{"grade": f"A{k % 2 + 1}", "reviewer": "x"} for k in range(4)])]
+    got = D.consistent(records(spark, files), names=NAMES, of=FORMS).orderBy("raw_id").collect()
     assert [(r.part, r.chapter, r.level, r._rescued and json.loads(r._rescued)) for r in got[:4]] == [
         ("Teil 9", "2", "B1", {"chapter": {"title": "Beim Arzt"}, "Level": {"inferred": True}}),
         ("Aufgabe 6", "3", "A2", {"kapitel": ["Ferien"]}),
         ("4", "Ferien", "C1", None),
         ("Partie", "3", "B2", None),
     ]
-    assert [r.level for r in got[8:12]] == ["A1", "A2", "A1", "A2"]  # grade, by its rename
+    assert [r.level for r in got[8:12]] == ["A1", "A2", "A1", "A2"]  # grade
+
+
+def test_names_and_forms_never_seen_before_are_promoted(spark, tmp_path):
+    """Nothing tells the operator of these names but how their files follow one another and what their values are like."""
+    code, levels = lambda k: f"A{k % 2 + 1}", range(6)
+    files = [
+        (1, "a", 0, [{"level": code(k), "part": f"Teil {k}", "n": k} for k in levels]),
+        (1, "b", 1, [{"zorbl": code(k), "part": f"Teil {k}", "n": k} for k in levels]),
+        (1, "c", 2, [{"zorbl": {"qx": code(k), "sure": True}, "part": {"w": "Teil", "v": k}, "n": k} for k in levels]),
+        (2, "a", 0, [{"zorbl": code(k)} for k in levels]),
+        (2, "b", 1, [{"gnarf": [code(k), "rest"]} for k in levels]),
+        (2, "c", 2, [{"zorbl": [code(k), "rest"]} for k in levels]),
+    ]
+    raw = records(spark, files).withColumns({"sheet": F.lit("s"), "collection": F.lit("c")})
+    raw.write.parquet(str(tmp_path / "raw_records.parquet"))
+    got = Q.p6_table(spark, str(tmp_path)).orderBy("raw_id").collect()
+    want = [code(k) for k in levels]
+    assert [r.level for r in got] == want * 6
+    assert [r.part for r in got[12:18]] == [f"Teil {k}" for k in levels]
+    assert json.loads(got[12]._rescued) == {"zorbl": {"sure": True}, "n": 0} and json.loads(got[24]._rescued) == {"gnarf": ["rest"]}
+
+
+def test_ingested_rows_hold_every_field_once(spark):
+    payloads = [{"level": 7, "part": "x", "difficulty": "3", "tags": ["a"], "new": {"k": 1}, "none": None, "_corrupt": "y"}, "broken", None, {}]
+    rows_ = D.ingest(records(spark, [(1, "f", 0, payloads)]), kinds=True)
+    got = {(r.field, r.kind, r.text, r.known) for r in D.observed(rows_, keys=("raw_id",)).collect()}
+    assert got == {("level", "number", "7", True), ("part", "string", "x", True), ("difficulty", "string", "3", True), ("tags", "array", '["a"]', True), ("new", "object", '{"k":1}', False), ("_corrupt", "string", "y", False)}
 
 
 def test_aliases_are_of_one_column(spark):
