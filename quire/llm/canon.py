@@ -4,6 +4,11 @@ Values are deduplicated, normalised, and meet the names and aliases of the list
 their character n-grams; each candidate is scored by the cosine of weighted n-grams, and accepted where
 the best entry's score is high enough and far enough above that of the next entry. Level codes are no
 words: a value that spells a code belongs to the entry with exactly that code, or to none.
+
+The index holds only the rarest n-grams of each name, and a key looks only for its own rarest ones: so many
+that what is left over on either side is too little to reach the threshold by itself. Two vectors with a
+cosine of t or more share an n-gram among the rarest of both, so no candidate is lost, and a name that
+shares nothing but frequent n-grams with a key never meets it.
 """
 
 from __future__ import annotations
@@ -14,10 +19,12 @@ from pyspark.sql import functions as F
 from quire.functions.fold import fold_case, narrow, strip_accents
 from quire.session import cut
 
-#: Least cosine of an accepted entry, and its least lead over the second.
+#: Least cosine of an accepted entry, and its least lead over the second. One slip changes a smaller part of a
+#: longer key, so the least cosine rises with each letter beyond SHORT, up to MOST.
 THRESHOLD, MARGIN = 0.25, 0.04
-#: Least likeness by edits (1 less edits over length) that an entry near the threshold must have too.
-EDITS = 0.6
+SHORT, RISE, MOST = 6, 0.02, 0.45
+#: Least likeness by edits (1 less edits over length) of an entry whose cosine is below SURE.
+EDITS, SURE = 0.6, 0.5
 #: Lengths of the n-grams; a longer one weighs more, as it says more.
 GRAMS = (1, 2, 3)
 
@@ -56,17 +63,35 @@ def grams(key: Column) -> Column:
     return F.concat(*map(of_length, GRAMS))
 
 
-def index(entries: DataFrame) -> DataFrame:
-    """field_name, canon_id, name, gram, weight: the inverted index of all names and aliases, each name of length 1."""
+def least_cosine(key: Column, threshold: float = THRESHOLD) -> Column:
+    """The least cosine with which an entry of a key is accepted."""
+    return F.least(F.lit(max(MOST, threshold)), F.lit(threshold) + RISE * F.greatest(F.length(key) - SHORT, F.lit(0)))
+
+
+def _vectors(bags: DataFrame, owner: list[str]) -> DataFrame:
+    """owner, grams (gram, df, w, tail) with the rarest first: unit vectors, and the part of the squared length from each gram on.
+
+    ``bags`` has owner, gram, raw and df. Ties of df are broken by the gram, so that all vectors have one order.
+    """
+    each = bags.groupBy(*owner).agg(F.array_sort(F.collect_list(F.struct("df", "gram", "raw"))).alias("g"))  # a name's or key's own n-grams
+    each = each.withColumn("norm", F.sqrt(F.aggregate("g", F.lit(0.0), lambda a, x: a + x["raw"] * x["raw"])))
+    each = each.withColumn("g", F.transform("g", lambda x: F.struct(x["df"].alias("df"), x["gram"].alias("gram"), (x["raw"] / F.col("norm")).alias("w"))))
+    # From the end: what is left from each n-gram on.
+    step = lambda acc, x: F.struct((acc["sum"] + x["w"] * x["w"]).alias("sum"), F.concat(F.array(acc["sum"] + x["w"] * x["w"]), acc["tails"]).alias("tails"))
+    tails = F.aggregate(F.reverse("g"), F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("tails")), step)["tails"]
+    return each.select(*owner, F.zip_with("g", tails, lambda x, t: F.struct(x["gram"].alias("gram"), x["w"].alias("w"), t.alias("tail"))).alias("grams"))
+
+
+def index(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names with their vectors (field_name, canon_id, name, grams), and all n-grams of each field with df and idf."""
     named = entries.select("field_name", "canon_id", F.explode(F.concat(F.array("entry"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("_name"))
     named = named.select("field_name", "canon_id", core(F.col("_name")).alias("name")).where("name <> ''").distinct()
     counts = named.select("field_name", "canon_id", "name", F.explode(grams(F.col("name"))).alias("gram")).groupBy("field_name", "canon_id", "name", "gram").count()
     total = named.groupBy("field_name").agg(F.count_distinct("name").alias("names"))
-    held = counts.groupBy("field_name", "gram").agg(F.count_distinct("name").alias("df"))
-    rows = counts.join(held, ["field_name", "gram"]).join(total, "field_name")
-    rows = rows.withColumn("idf", F.log1p(F.col("names") / F.col("df"))).withColumn("raw", F.col("count") * F.col("idf") * F.length("gram"))
-    norm = rows.groupBy("field_name", "canon_id", "name").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return rows.join(norm, ["field_name", "canon_id", "name"]).select("field_name", "canon_id", "name", "gram", (F.col("raw") / F.col("norm")).alias("weight"), "idf")
+    known = counts.groupBy("field_name", "gram").agg(F.count_distinct("name").alias("df")).join(total, "field_name").select("field_name", "gram", "df", F.log1p(F.col("names") / F.col("df")).alias("idf"))
+    known = cut(known)
+    bags = counts.join(known, ["field_name", "gram"]).withColumn("raw", F.col("count") * F.col("idf") * F.length("gram"))
+    return cut(_vectors(bags, ["field_name", "canon_id", "name"])), known
 
 
 def match(values: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
@@ -92,24 +117,38 @@ def match(values: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, m
     )
 
 
+def candidates(vectors: DataFrame, names: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """field_name, key, canon_id, name: all pairs that may come within the margin of the key's least cosine, each once.
+
+    Both sides come with their n-grams from the rarest on. If the n-grams that two vectors share begin with
+    one from which on either vector has less than t of its length left, their cosine is below t.
+    """
+    low = max(threshold - margin, 0.0)
+    ours = vectors.select("field_name", "key", (least_cosine(F.col("key"), threshold) - margin).alias("t"), F.explode("grams").alias("x"))
+    ours = ours.where(F.col("x.tail") >= F.col("t") * F.col("t")).select("field_name", "key", "t", "x.gram")
+    theirs = names.select("field_name", "canon_id", "name", F.explode("grams").alias("y")).where(F.col("y.tail") >= low * low)
+    theirs = theirs.select("field_name", "canon_id", "name", "y.gram", "y.tail")
+    met = ours.join(theirs, ["field_name", "gram"]).where(F.col("tail") >= F.col("t") * F.col("t"))
+    return met.select("field_name", "key", "canon_id", "name").distinct()
+
+
 def search(keys: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """field_name, key, canon_id, score: accepted entries of normalised keys; keys with none are left out."""
-    lists = cut(index(entries))
-    unseen = lists.groupBy("field_name").agg(F.max("idf").alias("most"))
-    known = lists.groupBy("field_name", "gram").agg(F.first("idf").alias("idf"))
+    names, known = index(entries)
+    unseen = known.groupBy("field_name").agg(F.max("idf").alias("most"))
     bag = keys.where("key <> ''").select("field_name", "key", F.explode(grams(F.col("key"))).alias("gram")).groupBy("field_name", "key", "gram").count()
-    bag = bag.join(known, ["field_name", "gram"], "left").join(unseen, "field_name").withColumn("raw", F.col("count") * F.coalesce("idf", "most") * F.length("gram"))
-    norm = bag.groupBy("field_name", "key").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    dot = bag.where("idf is not null").join(lists.drop("idf"), ["field_name", "gram"]).groupBy("field_name", "key", "canon_id", "name").agg(F.sum(F.col("raw") * F.col("weight")).alias("dot"))
-    scored = dot.join(norm, ["field_name", "key"]).withColumn("score", F.col("dot") / F.col("norm"))
-    best = cut(scored.groupBy("field_name", "key", "canon_id").agg(F.max(F.struct("score", "name")).alias("b")))
-    top = best.groupBy("field_name", "key").agg(F.max(F.struct(F.col("b.score").alias("score"), F.col("canon_id"), F.col("b.name").alias("name"))).alias("t"), F.count(F.lit(1)).alias("n"))
+    bag = bag.join(known, ["field_name", "gram"], "left").join(unseen, "field_name").select("field_name", "key", "gram", F.coalesce("df", F.lit(0)).alias("df"), (F.col("count") * F.coalesce("idf", "most") * F.length("gram")).alias("raw"))
+    vectors = cut(_vectors(bag, ["field_name", "key"]))
+    pairs = candidates(vectors, names, threshold, margin).join(vectors.select("field_name", "key", F.col("grams").alias("x")), ["field_name", "key"]).join(names.withColumnRenamed("grams", "y"), ["field_name", "canon_id", "name"])
+    weight = F.map_from_entries(F.transform("y", lambda g: F.struct(g["gram"], g["w"])))
+    score = F.aggregate("x", F.lit(0.0), lambda a, g: a + g["w"] * F.coalesce(F.col("of")[g["gram"]], F.lit(0.0)))
+    best = cut(pairs.withColumn("of", weight).select("field_name", "key", "canon_id", "name", score.alias("score")).groupBy("field_name", "key", "canon_id").agg(F.max(F.struct("score", "name")).alias("b")))
+    top = best.groupBy("field_name", "key").agg(F.max(F.struct(F.col("b.score").alias("score"), F.col("canon_id"), F.col("b.name").alias("name"))).alias("t"))
     lead = best.join(top, ["field_name", "key"]).where("canon_id <> t.canon_id").groupBy("field_name", "key").agg(F.max("b.score").alias("second"))
     near = 1 - F.levenshtein("key", F.col("t.name")) / F.greatest(F.length("key"), F.length("t.name"))
     return (
         top.join(lead, ["field_name", "key"], "left")
-        .withColumn("near", near)
-        .where((F.col("t.score") >= threshold) & (F.col("t.score") - F.coalesce("second", F.lit(0.0)) >= margin) & (F.col("near") >= EDITS))
+        .where((F.col("t.score") >= least_cosine(F.col("key"), threshold)) & (F.col("t.score") - F.coalesce("second", F.lit(0.0)) >= margin) & ((F.col("t.score") >= SURE) | (near >= EDITS)))
         .select("field_name", "key", F.col("t.canon_id").alias("canon_id"), F.col("t.score").alias("score"))
     )
 

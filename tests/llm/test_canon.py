@@ -51,3 +51,41 @@ def test_recall_on_seeded_typing_errors(spark):
     got = matched(spark, "section", want)
     assert sum(got[v] == c for v, c in want.items()) >= 0.97 * len(want)
     assert sum(got[v] not in (c, -1) for v, c in want.items()) <= 0.01 * len(want)
+
+
+def town(r):
+    return "".join(r.choice(["b", "br", "d", "f", "g", "h", "kl", "l", "m", "n", "p", "r", "s", "sch", "st", "t", "w"]) + r.choice(["a", "e", "i", "o", "u", "au", "ie"]) + r.choice(["", "n", "r", "ck", "ng", "st"]) for _ in range(r.choice((2, 3, 4))))
+
+
+def test_no_pair_above_the_least_cosine_is_missed_and_few_others_meet(spark):
+    r = random.Random(11)
+    names = sorted({town(r) for _ in range(1500)})
+    listed = spark.createDataFrame([(k, "town", n, None) for k, n in enumerate(names)], "canon_id long, field_name string, entry string, aliases array<string>")
+    slips = []
+    for n in r.sample(names, 40):
+        k = r.randrange(1, len(n) - 1)
+        slips += [n[:k] + n[k + 1 :], n[:k] + r.choice("aeinrst") + n[k:], n[: k - 1] + n[k] + n[k - 1] + n[k + 1 :]]
+    index, known = C.index(listed)
+    held = {x.name: {g.gram: g.w for g in x.grams} for x in index.collect()}
+    # The vectors of the keys, as search makes them.
+    idf, df = {x.gram: x.idf for x in known.collect()}, {x.gram: x.df for x in known.collect()}
+    bags = []
+    for key in set(slips):
+        marked = f"^{key}$"
+        for n in C.GRAMS:
+            for g in {marked[i : i + n] for i in range(len(marked) - n + 1)} - {"^", "$"}:
+                bags.append(("town", key, g, df.get(g, 0), sum(marked[i : i + n] == g for i in range(len(marked) - n + 1)) * idf.get(g, max(idf.values())) * n))
+    vectors = C._vectors(spark.createDataFrame(bags, "field_name string, key string, gram string, df long, raw double"), ["field_name", "key"])
+    own = {x.key: {g.gram: g.w for g in x.grams} for x in vectors.collect()}
+    got = {(x.key, x.name) for x in C.candidates(vectors, index).collect()}
+    least = lambda key: min(C.MOST, C.THRESHOLD + C.RISE * max(0, len(key) - C.SHORT)) - C.MARGIN
+    want = {(k, n) for k, x in own.items() for n, y in held.items() if sum(w * y.get(g, 0.0) for g, w in x.items()) >= least(k) + 1e-9}
+    assert want <= got and len(want) > len(own)
+    assert len(got) < 0.35 * len(own) * len(held)
+    found = {x.key: names[x.canon_id] for x in C.search(spark.createDataFrame([("town", k) for k in set(slips)], "field_name string, key string"), listed).collect()}
+    best = {k: max(held, key=lambda n: (sum(w * held[n].get(g, 0.0) for g, w in x.items()))) for k, x in own.items()}
+    assert all(best[k] == n for k, n in found.items()) and len(found) > 0.7 * len(own)
+
+
+def test_a_long_addition_does_not_hide_an_entry(spark):
+    assert matched(spark, "section", {"Hörverstehen im Zug": 1, "production orale libre": 4}) == {"Hörverstehen im Zug": 1, "production orale libre": 4}
