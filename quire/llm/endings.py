@@ -27,6 +27,8 @@ FREQUENT, LEAST = 0.002, 40
 ALWAYS = 0.975
 #: A word that ends a text is a piece of another one if that is so many times as frequent.
 PIECE = 8
+#: Slots of 64 bits of the filter that contexts of going on pass before they are shuffled; so many rows at most.
+SLOTS = 1 << 17
 
 #: Marks that may close a text, after which nothing is missing by itself.
 FINAL = r"[.!?…:;。！？][\"'»“”’)\]\s]*$"
@@ -71,6 +73,8 @@ def _context(kind: Column, w: Column, i: Column) -> Column:
 def judge(texts: DataFrame) -> DataFrame:
     """``kind, text, n, mark, early``: whether each text stops before its end; each pair of kind and text once.
 
+    Contexts and texts are known by 64-bit hashes: two contexts with one hash would add their counts.
+
     ``texts`` has kind, text, n (rows with this text) and whole (rows of it that no length limit can have
     cut). Texts of one kind are judged by each other. Null and blank texts aren't judged. All counts cover
     all texts; words for which companions are sought are bounded by their least share.
@@ -81,7 +85,9 @@ def judge(texts: DataFrame) -> DataFrame:
     inner = F.flatten(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.when(i < F.size("w"), _context(kind, w, i)).otherwise(F.array().cast("array<bigint>"))))
     # Each text counts once in a context, and one that ends there counts as that.
     ends = base.select(F.explode(F.array_distinct(F.array_compact("final"))).alias("key"), F.col("whole").alias("ends"), F.lit(0).cast("bigint").alias("goes_on"))
-    goes = base.select(F.explode(F.array_except(F.array_compact(inner), "final")).alias("key"), F.lit(0).cast("bigint").alias("ends"), F.col("n").alias("goes_on"))
+    # Only contexts in which some text ends are asked for: most others stop at a filter of bounded size, before the shuffle.
+    goes = base.select("n", F.explode(F.array_except(F.array_compact(inner), "final")).alias("key")).withColumn("slot", _slot(F.col("key")))
+    goes = goes.join(F.broadcast(_filter(ends)), "slot").where(F.getbit("bits", _bit(F.col("key"))) == 1).select("key", F.lit(0).cast("bigint").alias("ends"), F.col("n").alias("goes_on"))
     context = ends.unionByName(goes).groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
     asked = base.select("id", F.posexplode("final").alias("sort", "key")).where("key is not null")
     all_ = F.col("ends") + F.col("goes_on")
@@ -99,10 +105,29 @@ def judge(texts: DataFrame) -> DataFrame:
     return told.withColumn("lacks", ~F.col("mark") & lacks(kind, w)).select("kind", "text", "n", "mark", (F.col("broken") | F.col("lacks")).alias("early"), "broken", "lacks")
 
 
+def _slot(key: Column) -> Column:
+    return F.pmod(key, F.lit(SLOTS)).cast("int")
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(F.shiftright(key, 24), F.lit(64)).cast("int")
+
+
+def _filter(keys: DataFrame) -> DataFrame:
+    """slot, bits: a filter that lets every one of the keys through and few others; SLOTS rows at most."""
+    return keys.groupBy(_slot(F.col("key")).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(shiftright(key, 24), 64) as int))")).alias("bits"))
+
+
 def _pieces(known: DataFrame) -> DataFrame:
-    """kind, word, piece: words that end texts only and are the beginning of a far more frequent word."""
+    """kind, word, piece: words that end texts only and are the beginning of a far more frequent word.
+
+    A longer word is cut at the lengths that such endings have, so it may be of any length itself.
+    """
     odd = known.where("sure * 4 < all").select("kind", "word", F.col("all").alias("own"))
-    of = known.where("length(word) <= 60").select("kind", "sure", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1))), lambda i: F.substring("word", F.lit(1), i))).alias("word"), F.col("word").alias("longer")).where("word <> longer")
+    lengths = odd.agg(F.array_sort(F.collect_set(F.length("word"))).alias("_lengths"))  # one row
+    cuts = F.transform(F.filter("_lengths", lambda n: n < F.length("longer")), lambda n: F.substring("longer", F.lit(1), n))
+    # A word that isn't PIECE times as frequent as anything is no longer word of a piece.
+    of = known.where(F.col("sure") >= PIECE).select("kind", "sure", F.col("word").alias("longer")).join(F.broadcast(lengths)).select("kind", "sure", F.explode(cuts).alias("word"))
     of = of.groupBy("kind", "word").agg(F.max("sure").alias("most"))
     return odd.join(of, ["kind", "word"]).where(F.col("most") >= F.greatest(F.lit(PIECE), F.col("own") * PIECE)).select("kind", "word", F.lit(True).alias("piece"))
 
@@ -111,30 +136,57 @@ def _companions(whole: DataFrame, known: DataFrame) -> dict[str, dict[str, list[
     """For each kind and frequent word, the words that always follow it in ``whole``.
 
     There can be no more frequent words than the mean number of words divided by FREQUENT, and no more
-    companions of one than the mean number of words divided by ALWAYS.
+    companions of one than the mean number of words divided by ALWAYS. Pairs are counted as numbers, the
+    places of the words in the list of frequent ones; a pair of words that can't pass by their single counts
+    (a companion is nearly as frequent as its word) isn't counted.
     """
     totals = whole.groupBy("kind").agg(F.sum("whole").alias("texts"))
     least = F.greatest(F.lit(LEAST), F.col("texts") * FREQUENT)
-    often = known.join(totals, "kind").where(F.col("sure") >= least).select("word").distinct()
-    frequent = sorted(r.word for r in often.collect())
-    if not frequent:
+    often = {(r.kind, r.word): r.all for r in known.join(totals, "kind").where(F.col("sure") >= least).select("kind", "word", F.col("all")).collect()}
+    if not often:
         return {}
-    # One pass for all kinds: a word that is frequent in one of them only is left out of the others below.
-    held = whole.select("kind", F.col("whole").alias("n"), _only("w", frequent).alias("w"))
-    after = F.array_distinct(F.slice("w", F.array_position("w", F.col("a")).cast("int") + 1, F.size("w")))
-    first = held.select("kind", "n", "w", F.explode(F.array_distinct("w")).alias("a")).select("kind", "n", "a", after.alias("after"))
-    pairs = first.select("kind", "n", "a", F.explode("after").alias("b")).groupBy("kind", "a", "b").agg(F.sum("n").alias("both"))
-    alone = first.groupBy("kind", "a").agg(F.sum("n").alias("n_a")).join(totals, "kind").where(F.col("n_a") >= least)
+    spark = whole.sparkSession
+    frequent = sorted({w for _, w in often})
+    kinds = sorted({k for k, _ in often})
+    held = spark.sparkContext.broadcast({w: k for k, w in enumerate(frequent)})
+    many, number = len(frequent), F.array_position(F.array(*map(F.lit, kinds)), F.col("kind")).cast("int").alias("k")
+
+    @F.pandas_udf("array<int>")
+    def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        at = held.value
+        for texts in batches:
+            yield texts.map(lambda w: [at[x] for x in w if x in at])
+
+    numbered = cut(whole.where(F.col("kind").isin(*kinds)).select(number, F.col("whole").alias("n"), places("w").alias("w")))
+    alone = numbered.select("k", "n", F.explode(F.array_distinct("w")).alias("a")).groupBy("k", "a").agg(F.sum("n").alias("n_a"))
+    counted = alone.join(totals.select(number, least.alias("least")), "k").where(F.col("n_a") >= ALWAYS * F.col("least"))
+    singles = {(r.k, r.a): (r.n_a, r.n_a >= r.least) for r in counted.collect()}
+    counts = spark.sparkContext.broadcast(singles)
+
+    @F.pandas_udf("array<bigint>")
+    def pairs(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known_counts = counts.value
+        for ks, texts in batches:
+            out = []
+            for k, w in zip(ks, texts):
+                first, last = {}, {}
+                for i, x in enumerate(w):
+                    first.setdefault(x, i)
+                    last[x] = i
+                n = {x: known_counts.get((k, x), (0, False)) for x in first}
+                out.append([x * many + y for x, i in first.items() if n[x][1] for y, j in last.items() if j > i and n[y][0] >= ALWAYS * n[x][0]])
+            yield pd.Series(out)
+
+    both = numbered.select("k", "n", F.explode(pairs("k", "w")).alias("pair")).groupBy("k", "pair").agg(F.sum("n").alias("both"))
+    of_word = pd.DataFrame([(k, a, n) for (k, a), (n, enough) in singles.items() if enough], columns=["k", "a", "n_a"])
+    of_word = spark.createDataFrame(of_word, "k int, a int, n_a bigint")
+    kept = both.withColumn("a", F.floor(F.col("pair") / many).cast("int")).join(of_word, ["k", "a"]).where(F.col("both") >= ALWAYS * F.col("n_a"))
     rules: dict[str, dict[str, list[str]]] = {}
-    for r in pairs.join(alone, ["kind", "a"]).where(F.col("both") >= ALWAYS * F.col("n_a")).select("kind", "a", "b").collect():
-        rules.setdefault(r.kind, {}).setdefault(r.a, []).append(r.b)
+    for r in kept.select("k", "pair").collect():
+        rules.setdefault(kinds[r.k - 1], {}).setdefault(frequent[r.pair // many], []).append(frequent[r.pair % many])
     return rules
 
 
-def _only(column: str, listed: list[str]) -> Column:
-    return F.filter(column, lambda w: w.isin(*listed))
-
-
 def _lacks(rules: dict[str, dict[str, list[str]]], spark):
     held = spark.sparkContext.broadcast(rules)
 

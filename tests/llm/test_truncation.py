@@ -93,3 +93,50 @@ def test_a_limit_of_the_only_source(spark):
     whole = [value(r) for _ in range(2000)]
     df = spark.createDataFrame([("x", "s", v) for v in values] + [("y", "s", v) for v in whole], "kind string, source string, text string")
     assert rows(T.limits(df).select("kind", "encoding", "limit")) == [("x", "characters", 44)]
+
+
+def test_pieces_of_words_of_any_length(spark):
+    from quire.llm import endings as E
+
+    long = "donau" * 40 + "gesellschaft"
+    df = spark.createDataFrame([("k", long, 50, 50), ("k", long[:-3], 0, 2), ("k", "haus", 50, 50), ("k", "hau", 0, 1), ("k", "rest", 0, 9)], "kind string, word string, sure long, all long")
+    assert rows(E._pieces(df).select("word")) == [(long[:-3],), ("hau",)]
+
+
+def test_companions_are_those_of_a_count_of_all_pairs(spark):
+    import random
+
+    from quire.llm import endings as E
+
+    r = random.Random(2)
+    texts = []
+    for _ in range(600):
+        w = [r.choice("abcdefgh") for _ in range(r.randint(2, 6))]
+        if r.random() < 0.5:
+            w = ["if", *w, "then", r.choice("xyz")]
+        texts.append(w)
+    whole = spark.createDataFrame([("k", 1, w) for w in texts], "kind string, whole long, w array<string>")
+    known = spark.createDataFrame([("k", x, n, n) for x in {x for w in texts for x in w} for n in [sum(w.count(x) for w in texts)]], "kind string, word string, sure long, all long")
+    got = E._companions(whole, known)
+    least = max(E.LEAST, E.FREQUENT * len(texts))
+    words = {x for w in texts for x in w}
+    n = {x: sum(x in w for w in texts) for x in words}
+    want = {}
+    for a in words:
+        for b in words:
+            after = sum(b in w[w.index(a) + 1 :] for w in texts if a in w)
+            if n[a] >= least and after >= E.ALWAYS * n[a]:
+                want.setdefault(a, set()).add(b)
+    assert {k: set(v) for k, v in got.get("k", {}).items()} == want and "then" in want["if"]
+
+
+def test_contexts_pass_a_filter_that_loses_none(spark):
+    from pyspark.sql import functions as F
+
+    from quire.llm import endings as E
+
+    keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
+    held = E._filter(keys.where("key % 3 = 0"))
+    kept = keys.withColumn("slot", E._slot(F.col("key"))).join(held, "slot").where(F.getbit("bits", E._bit(F.col("key"))) == 1)
+    assert keys.where("key % 3 = 0").join(kept, "key", "left_anti").count() == 0
+    assert kept.count() < 1.1 * keys.where("key % 3 = 0").count()
