@@ -1,9 +1,11 @@
 """Problem 9: per-document statistics, and whether a document is prose, a list, a table or junk.
 
 Each line becomes a few coarse observations (which signs, how many words between separators, how many
-common words). A hidden Markov model with the states prose, list, table and junk labels the lines; it
-starts from stated beliefs about what lines of each kind look like and is then trained by expectation
-maximisation over the lines of all documents. The posterior shares of a document's characters decide.
+common words), counted for all lines of a batch at once by Arrow. A hidden Markov model with the states
+prose, list, table and junk labels the lines. Its chances are estimated by expectation maximisation over the
+lines of all documents until their likelihood stands still; stated beliefs about what lines of each kind
+look like are its start and weigh as much as a stated share of the lines, which keeps the states' meaning.
+The posterior shares of a document's characters decide.
 """
 
 from __future__ import annotations
@@ -14,33 +16,37 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.session import cut
 
 STATES = ("prose", "list", "table", "junk")
-#: A common word stands in at least this share of all texts; of those the most frequent so many are known to the workers.
-COMMON_SHARE, MOST_COMMON = 0.02, 5_000
-#: Lines whose observations a worker remembers: in lists and tables many stand more than once.
-MOST_LINES = 50_000
-#: Rounds of training, and how much of each new estimate is taken over.
-ROUNDS, LEARN = 2, 0.15
-
-_WORD = re.compile(r"[^\W\d_]+")
-_TOKEN = re.compile(r"\S+")
-_MARK = re.compile(r"^\s*(?:[-*+•·‣◦–—○●▪■□☐☑✓>]+\s+|\(?\d{1,4}[.)]\s+|\(?[A-Za-z][.)]\s+)")
+#: A common word stands in at least this share of all texts.
+COMMON_SHARE = 0.02
+#: The beliefs weigh as much as this share of all lines.
+BELIEF = 0.25
+#: Training ends when the mean log likelihood of a line gains less than this, after so many rounds at the latest.
+GAIN, ROUNDS = 0.002, 12
+
+# Patterns of RE2, which Arrow uses: letters are what Python counts as such, white space is that of Unicode.
+_S = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_N = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_L = r"[\p{L}\p{Nl}\p{No}]"
+_OTHER = r"[^\p{L}\p{Nl}\p{No}]+"
+_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_MARK = rf"^{_S}*(?:[-*+•·‣◦–—○●▪■□☐☑✓>]+{_S}+|\(?\p{{Nd}}{{1,4}}[.)]{_S}+|\(?[A-Za-z][.)]{_S}+)"
+_PART = rf"[,;|\t•·]| {{2,}}|{_S}[–—-]{_S}"
+_LEADER = rf"(?:\.{{3,}}|…{{2,}}|(?:\. ){{3,}}|_{{3,}}){_S}*\p{{Nd}}+{_S}*$"
+_CLOSING = "[\"'»“”’)\\]]*"
+_ENDED = rf"[.!?:;…]{_CLOSING}{_S}*$"
+_SENTENCE = rf"[.!?…]{_CLOSING}({_S}|$)"
+#: Signs that are neither letters nor digits nor the marks that texts, lists and tables are full of.
+_ODD = r"_|[^\p{L}\p{N}\s\x0b\x1c-\x1f\x{85}\p{Z}.,;:!?'\"()|–—/…„“”«»’•‚‘-]"
+#: Lines that may have column separators, and these as Python finds them, with what stands around them.
+_MAYBE_COLUMNS = r"[\p{L}\p{N}_][,;][\p{L}\p{N}_]|[|\t]|  "
 _COLUMN = re.compile(r"(?:(?<=\s)|^|(?<=\w))\|(?=\s|\w|-|:|$)|\t| {2,}|(?<=\w);(?=\w)|(?<=\w),(?=[^\W\d])")
-SEPARATORS = ("|", "\t", "  ", ";", ",")
-_PART = re.compile(r"[,;|\t•·]| {2,}|\s[–—-]\s")
-_LEADER = re.compile(r"(?:\.{3,}|…{2,}|(?:\. ){3,}|_{3,})\s*\d+\s*$")
-_ENDED = re.compile(r"[.!?:;…][\"'»“”’)\]]*\s*\Z")
-_SENTENCE = re.compile(r"[.!?…][\"'»“”’)\]]*(?=\s|$)")
-
-#: Runs of digits, of letters and digits, and of signs that are neither those nor the marks that texts, lists and tables are full of.
-_DIGITS = re.compile(r"\d+")
-_ALNUM = re.compile(r"[^\W_]+")
-_ODD = re.compile(r"(?:_|[^\w\s.,;:!?'\"()|–—/…„“”«»’•‚‘-])+")
 
 # Observations of a line, and the beliefs to start from: for each hidden state the chance of each value.
 # Junk has two hidden states, noise of signs and words that aren't any; they are added up as junk.
@@ -82,59 +88,84 @@ STEP = np.array([
 ])
 
 
-def _bin(value: float, *limits: float) -> int:
-    return sum(value >= x for x in limits)
-
-
-def total(runs: re.Pattern[str], text: str) -> int:
-    return sum(map(len, runs.findall(text)))
-
-
-def observe(line: str, common: frozenset[str]) -> tuple[int, int]:
-    """The observations of a line that isn't blank, as one number, and its weight: the signs it has."""
-    body = _MARK.sub("", line, count=1)
-    marked = len(body) < len(line) and bool(body.strip())
-    body = body.strip() if marked else line.strip()
-    signs = "".join(body.split())
-    n = len(signs) or 1
-    words = _WORD.findall(body)
-    letters = sum(map(len, words))
-    digits = total(_DIGITS, signs)
-    parts = [x for x in _PART.split(body.strip(" |")) if x.strip()]
-    tokens = _TOKEN.findall(body)
-    ends = [m.end() for m in _SENTENCE.finditer(body)]
-    inner = [e for e in ends if e < len(body)]
-    long = [w for w in words if len(w) > 1]
-    known = sum(w.lower() in common for w in long)
-    stretch = max(len(_WORD.findall(x)) for x in _SENTENCE.split(body)) if inner else len(words)
-    longest = max(map(len, tokens), default=0)
-    if n >= 5 and len(set(signs)) <= 2 and not letters and "|" not in signs:
-        shape = 3
-    elif longest > 40 and letters + digits > 0.8 * n:
-        shape = 2
-    else:
-        shape = int(len(tokens) >= 4 and sum(len(t) <= 2 for t in tokens) > 0.6 * len(tokens))
-    odd = _bin(total(_ODD, signs) / n, 0.04, 0.15)
+def _bins(values: np.ndarray, *limits: float) -> np.ndarray:
+    return np.searchsorted(np.array(limits), values, side="right")
+
+
+def _count(texts: pa.Array, pattern: str) -> np.ndarray:
+    return pc.count_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _signs(texts: pa.Array, others: str) -> np.ndarray:
+    """How many characters each text has besides runs of others."""
+    return pc.utf8_length(pc.replace_substring_regex(texts, others, "")).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _split(texts: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts in one array, and where those of each text begin; each text has one at least."""
+    parts = pc.split_pattern_regex(texts, pattern)
+    return parts.flatten(), parts.offsets.to_numpy()
+
+
+def _trim(texts: pa.Array) -> pa.Array:
+    return pc.replace_substring_regex(texts, f"^{_S}+|{_S}+$", "")
+
+
+def observe(lines: pa.Array, common: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The observations of lines that aren't blank, each line's as one number, and its weight: the signs it has."""
+    if not len(lines):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    line = _trim(lines)
+    rest = _trim(pc.replace_substring_regex(lines, _MARK, "", max_replacements=1))
+    marked = pc.and_(pc.match_substring_regex(lines, _MARK), pc.not_equal(rest, ""))
+    body = pc.if_else(marked, rest, line)
+    signs = _signs(body, f"{_S}+")
+    n = np.maximum(signs, 1)
+    letters, digits = _signs(body, _OTHER), _count(body, r"\p{Nd}")
+    word_list, at = _split(pc.utf8_lower(body), _OTHER)
+    of_word = pc.utf8_length(word_list).to_numpy(zero_copy_only=False)
+    usual = pc.is_in(word_list, value_set=common).to_numpy(zero_copy_only=False)
+    words, long, known = (np.add.reduceat(x.astype(np.int64), at[:-1]) for x in (of_word > 0, of_word > 1, usual & (of_word > 1)))
+    parts = _count(pc.replace_substring_regex(pc.replace_substring_regex(body, "^[ |]+|[ |]+$", ""), _PART, "\x01"), rf"[^\x01]*[^\x01\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}][^\x01]*")
+    tokens, at = _split(body, f"{_S}+")
+    sizes = pc.utf8_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+    longest = np.maximum.reduceat(sizes, at[:-1])
+    held, short = np.add.reduceat((sizes > 0).astype(np.int64), at[:-1]), np.add.reduceat(((sizes > 0) & (sizes <= 2)).astype(np.int64), at[:-1])
+    ended = pc.replace_substring_regex(body, _SENTENCE, "\x02\\1")
+    ends = _count(ended, "\x02")
+    inner = ends - pc.ends_with(ended, "\x02").to_numpy(zero_copy_only=False).astype(np.int64)
+    pieces, at = _split(ended, "\x02")
+    stretch = np.where(inner > 0, np.maximum.reduceat(_count(pieces, _L + "+"), at[:-1]), words)
+    shape = ((held >= 4) & (short > 0.6 * held)).astype(np.int64)
+    shape[(longest > 40) & (letters + digits > 0.8 * n)] = 2
+    for k in np.flatnonzero((signs >= 5) & (letters == 0)):  # lines without a letter are few
+        text = body[int(k)].as_py()
+        if "|" not in text and len(set("".join(text.split()))) <= 2:
+            shape[k] = 3
+    odd = _bins(_count(body, _ODD) / n, 0.04, 0.15)
+    columns = np.zeros(len(lines), dtype=np.int64)
     # What separates cells of noise separates nothing.
-    columns = min(3, len(_COLUMN.findall(line.strip()))) if odd < 2 and any(x in line for x in SEPARATORS) else 0
+    maybe = pc.match_substring_regex(line, _MAYBE_COLUMNS).to_numpy(zero_copy_only=False)
+    for k in np.flatnonzero(maybe & (odd < 2)):
+        columns[k] = min(3, len(_COLUMN.findall(line[int(k)].as_py())))
     values = (
-        _bin(letters / n, 0.3, 0.55, 0.72),
+        _bins(letters / n, 0.3, 0.55, 0.72),
         odd,
         columns,
-        int(marked),
-        _bin(len(words) / max(1, len(parts)), 2.51, 4.01, 7.01),
-        2 if inner else 1 if ends else 0,
-        _bin(known / len(long), 0.15, 0.4, 0.65) if long else 0,
-        _bin(len(words), 1, 4, 9, 21),
+        marked.to_numpy(zero_copy_only=False).astype(np.int64),
+        _bins(words / np.maximum(1, parts), 2.51, 4.01, 7.01),
+        np.where(inner > 0, 2, np.where(ends > 0, 1, 0)),
+        np.where(long > 0, _bins(known / np.maximum(1, long), 0.15, 0.4, 0.65), 0),
+        _bins(words, 1, 4, 9, 21),
         shape,
-        int(body[-1:].isdigit() and bool(_LEADER.search(body))),
-        _bin(stretch, 25, 45),
-        _bin(digits / n, 0.1, 0.4),
+        pc.match_substring_regex(body, _LEADER).to_numpy(zero_copy_only=False).astype(np.int64),
+        _bins(stretch, 25, 45),
+        _bins(digits / n, 0.1, 0.4),
     )
-    code = 0
+    code = np.zeros(len(lines), dtype=np.int64)
     for value, size in zip(values, SIZES):
         code = code * size + value
-    return code, len(signs)
+    return code, signs
 
 
 def unpack(codes: np.ndarray) -> np.ndarray:
@@ -153,137 +184,160 @@ class Model:
         self.start, self.step = start, step
         self.emit = emit if emit is not None else [np.array(f) for f in FEATURES.values()]
 
-    def chances(self, seen: np.ndarray) -> np.ndarray:
-        """Of each line in each state, scaled so that the largest is 1."""
+    def chances(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each line in each state, scaled so that the largest is 1, and the logarithm of the scale."""
         logs = sum(np.log(e)[:, seen[:, k]] for k, e in enumerate(self.emit)).T
-        return np.exp(logs - logs.max(axis=1, keepdims=True))
+        top = logs.max(axis=1, keepdims=True)
+        return np.exp(logs - top), top[:, 0]
 
-    def posterior(self, codes: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Of each document the posterior of each line, and the expected number of each step over all of them.
+    def posterior(self, codes: list[np.ndarray], weights: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray, float]:
+        """Of each document the posterior of each line; the expected number of each step over all of them; their log likelihood.
 
-        Forward and backward passes run over all documents of the batch at once, the longest first.
+        Forward and backward passes run over all documents of the batch at once, the longest first. A document
+        counts as often as its weight says.
         """
+        s = len(HIDDEN)
+        if not len(codes):
+            return [], np.zeros((s, s)), 0.0
+        times = np.ones(len(codes)) if weights is None else np.asarray(weights, dtype=float)
         sizes = np.array([len(c) for c in codes])
         order = np.argsort(-sizes, kind="stable")
         ahead = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.chances(unpack(np.concatenate(codes))) if len(codes) else np.empty((0, len(HIDDEN)))
-        first = ahead[order]
-        sizes = sizes[order]
+        # There are few different codes, however many lines.
+        different, which = np.unique(np.concatenate(codes), return_inverse=True)
+        chance, scale = self.chances(unpack(different))
+        flat = chance[which]
+        first, ranked, sizes = ahead[order], times[order], sizes[order]
         forward, backward = np.empty_like(flat), np.ones_like(flat)
-        longest = int(sizes[0]) if len(sizes) else 0
+        longest = int(sizes[0])
+        likelihood = float((scale[which] * np.repeat(times, [len(c) for c in codes])).sum())
         for t in range(longest):
-            m = int((sizes > t).sum())
+            m = int(np.searchsorted(-sizes, -t, side="left"))
             at = first[:m] + t
             last = self.start if t == 0 else forward[at - 1] @ self.step
             now = last * flat[at]
-            forward[at] = now / now.sum(axis=1, keepdims=True)
-        steps = np.zeros((len(HIDDEN), len(HIDDEN)))
+            total = now.sum(axis=1, keepdims=True)
+            likelihood += float((np.log(total[:, 0]) * ranked[:m]).sum())
+            forward[at] = now / total
+        steps = np.zeros((s, s))
         for t in range(longest - 2, -1, -1):
-            m = int((sizes > t + 1).sum())
+            m = int(np.searchsorted(-sizes, -(t + 1), side="left"))
             at = first[:m] + t
             after = flat[at + 1] * backward[at + 1]
             back = after @ self.step.T
-            pair = forward[at][:, :, None] * self.step[None] * after[:, None, :]
-            steps += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            # The sum over documents of forward x step x after, each divided by its own total.
+            each = ranked[:m] / (forward[at] * back).sum(axis=1)
+            steps += self.step * (forward[at].T @ (after * each[:, None]))
             backward[at] = back / back.sum(axis=1, keepdims=True)
         both = forward * backward
         both /= both.sum(axis=1, keepdims=True)
-        return [both[ahead[k] : ahead[k + 1]] for k in range(len(codes))], steps
-
-    def expected(self, codes: list[np.ndarray]) -> np.ndarray:
-        """Expected counts of first states, steps and observations, in one row."""
-        both, steps = self.posterior(codes)
-        start = sum((b[0] for b in both), np.zeros(len(HIDDEN)))
-        seen, weight = unpack(np.concatenate(codes)), np.concatenate(both)
-        emit = [np.stack([np.bincount(seen[:, k], weights=weight[:, s], minlength=n) for s in range(len(HIDDEN))]) for k, n in enumerate(SIZES)]
-        return np.concatenate([start, steps.ravel(), *(e.ravel() for e in emit)])
-
-    def learned(self, counts: np.ndarray, learn: float = LEARN) -> Model:
-        """A model part of the way from this one to what the counts say; the beliefs keep their part."""
+        return [both[ahead[k] : ahead[k + 1]] for k in range(len(codes))], steps, likelihood
+
+    def expected(self, codes: list[np.ndarray], weights: np.ndarray | None = None) -> np.ndarray:
+        """Expected counts of first states, steps and observations, the log likelihood and the number of lines, in one row."""
+        both, steps, likelihood = self.posterior(codes, weights)
+        times = np.ones(len(codes)) if weights is None else np.asarray(weights, dtype=float)
+        start = sum((b[0] * n for b, n in zip(both, times)), np.zeros(len(HIDDEN)))
+        lines = np.repeat(times, [len(c) for c in codes])
+        different, which = np.unique(np.concatenate(codes), return_inverse=True)
+        held = np.stack([np.bincount(which, weights=w, minlength=len(different)) for w in (np.concatenate(both) * lines[:, None]).T])
+        seen = unpack(different)
+        emit = [np.stack([np.bincount(seen[:, k], weights=h, minlength=n) for h in held]) for k, n in enumerate(SIZES)]
+        return np.concatenate([start, steps.ravel(), *(e.ravel() for e in emit), [likelihood, lines.sum()]])
+
+    def learned(self, counts: np.ndarray, prior: Model, weight: float) -> Model:
+        """The likeliest model by the expected counts and a prior that weighs as many observations of each state."""
         s = len(HIDDEN)
         at = [0, s, s + s * s]
         for n in SIZES:
             at.append(at[-1] + s * n)
 
-        def mixed(old: np.ndarray, new: np.ndarray) -> np.ndarray:
-            total = new.sum(axis=-1, keepdims=True)
-            return np.where(total > 0, (1 - learn) * old + learn * (new + 1e-3) / (total + 1e-3 * new.shape[-1]), old)
+        def mixed(belief: np.ndarray, new: np.ndarray) -> np.ndarray:
+            return (new + weight * belief) / (new.sum(axis=-1, keepdims=True) + weight)
 
-        start = mixed(self.start, counts[: at[1]])
-        step = mixed(self.step, counts[at[1] : at[2]].reshape(s, s))
-        emit = [mixed(e, counts[at[k + 2] : at[k + 3]].reshape(s, n)) for k, (e, n) in enumerate(zip(self.emit, SIZES))]
+        start = mixed(prior.start, counts[: at[1]])
+        step = mixed(prior.step, counts[at[1] : at[2]].reshape(s, s))
+        emit = [mixed(e, counts[at[k + 2] : at[k + 3]].reshape(s, n)) for k, (e, n) in enumerate(zip(prior.emit, SIZES))]
         return Model(start, step, emit)
 
 
-def common_words(documents: DataFrame, text: str = "text", share: float = COMMON_SHARE, most: int = MOST_COMMON) -> list[str]:
-    """Words that at least ``share`` of all texts have; at most the ``most`` most frequent of them.
+def common_words(documents: DataFrame, text: str = "text", share: float = COMMON_SHARE) -> list[str]:
+    """All words that at least ``share`` of all texts have.
 
     There can be no more of them than the texts' mean number of different words divided by the share.
     """
-    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))))
+    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{Nl}\p{No}]+"), F.lit(0))))
     filled = documents.where(F.col(text).rlike(r"\S"))
     least = max(2.0, share * filled.count())
-    counts = filled.select(word.alias("word")).groupBy("word").count().where(F.col("count") >= least)
-    return [r.word for r in counts.orderBy(F.desc("count"), "word").limit(most).collect()]
+    return sorted(r.word for r in filled.select(word.alias("word")).groupBy("word").count().where(F.col("count") >= least).collect())
 
 
 LINES = "doc_id bigint, words bigint, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, codes array<int>, weights array<int>"
 
 
 def _lines(known):
+    def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate([[0], np.cumsum(values)])[starts])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, told = frozenset(known.value), {}
+        common = pa.array(known.value, pa.string())
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = [x for x in (text or "").splitlines() if x.strip()]
-                words = _WORD.findall(text or "")
-                signs = sum(map(len, (text or "").split()))
-                alnum = total(_ALNUM, text or "")
-                seen = []
-                for x in lines:
-                    if x not in told:
-                        if len(told) >= MOST_LINES:
-                            told.clear()
-                        told[x] = observe(x, common)
-                    seen.append(told[x])
-                ended = sum(bool(_ENDED.search(x)) for x in lines)
-                known_words = sum(w.lower() in common for w in words)
-                rows.append((
-                    doc, len(words), sum(map(len, words)) / len(words) if words else None, (signs - alnum) / signs if signs else None,
-                    ended / len(lines) if lines else None, known_words / len(words) if words else None, [c for c, _ in seen], [w for _, w in seen],
-                ))
-            kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 4, pa.list_(pa.int32()), pa.list_(pa.int32())]
-            names = ["doc_id", "words", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "codes", "weights"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+            texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
+            every, starts = _split(texts, _BREAK)
+            filled = pc.match_substring_regex(every, _N).to_numpy(zero_copy_only=False)
+            lines = every.filter(pa.array(filled))
+            starts = np.concatenate([[0], np.cumsum(filled)])[starts]
+            codes, weights = observe(lines, common)
+            word_list, at = _split(pc.utf8_lower(lines), _OTHER)
+            held = pc.utf8_length(word_list).to_numpy(zero_copy_only=False)
+            in_doc = at[starts]
+            words, letters = sums(held > 0, in_doc), sums(held, in_doc)
+            usual = sums(pc.is_in(word_list, value_set=common).to_numpy(zero_copy_only=False), in_doc)
+            signs, alnum = sums(_signs(lines, f"{_S}+"), starts), sums(_signs(lines, r"[^\p{L}\p{N}]+"), starts)
+            ended = sums(pc.match_substring_regex(lines, _ENDED).to_numpy(zero_copy_only=False).astype(np.int64), starts)
+            count = np.diff(starts)
+
+            def ratio(part: np.ndarray, whole: np.ndarray) -> pa.Array:
+                return pa.array(part / np.maximum(1, whole), pa.float64(), mask=whole == 0)
+
+            lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (codes, weights)]
+            held = [batch.column(0), pa.array(words), ratio(letters, words), ratio(signs - alnum, signs), ratio(ended, count), ratio(usual, words), *lists]
+            yield pa.RecordBatch.from_arrays(held, names=["doc_id", "words", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "codes", "weights"])
 
     return run
 
 
-def _train(lines: DataFrame, rounds: int) -> Model:
-    """Expectation maximisation over all lines; each round sends one row of sums from each task."""
-    model = Model()
+def train(lines: DataFrame, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
+    """Expectation maximisation over the lines of all documents, and the mean log likelihood of a line in each round.
+
+    Documents with the same observations are counted first. Each round sends one row of sums from each task.
+    """
+    groups = cut(lines.where(F.size("codes") > 0).groupBy("codes").agg(F.count(F.lit(1)).alias("n")))
+    prior = model = Model()
+    told: list[float] = []
     for _ in range(rounds):
         now = model
 
         def sums(batches: Iterator[pd.DataFrame], now: Model = now) -> Iterator[pd.DataFrame]:
             total = None
             for batch in batches:
-                codes = [np.asarray(c) for c in batch["codes"] if len(c)]
-                if codes:
-                    counts = now.expected(codes)
+                if len(batch):
+                    counts = now.expected([np.asarray(c) for c in batch["codes"]], batch["n"].to_numpy())
                     total = counts if total is None else total + counts
             if total is not None:
                 yield pd.DataFrame({"k": np.arange(len(total)), "v": total})
 
-        rows = lines.select("codes").mapInPandas(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+        rows = groups.mapInPandas(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
         if not rows:
-            return model
+            break
         counts = np.zeros(len(rows))
         for r in rows:
             counts[r.k] = r.v
-        model = model.learned(counts)
-    return model
+        model = now.learned(counts, prior, BELIEF * counts[-1])
+        told.append(counts[-2] / counts[-1])
+        if len(told) > 1 and told[-1] - told[-2] < GAIN:
+            break
+    return model, told
 
 
 SHARES = "doc_id bigint, words bigint, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, lines bigint, prose double, list double, table double, junk double"
@@ -302,7 +356,7 @@ def statistics(documents: DataFrame, rounds: int = ROUNDS, id_column: str = "doc
     docs = documents.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     known = documents.sparkSession.sparkContext.broadcast(common_words(docs))
     lines = cut(docs.mapInArrow(_lines(known), LINES))
-    model = _train(lines, rounds)
+    model, _ = train(lines, rounds)
 
     def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -310,7 +364,7 @@ def statistics(documents: DataFrame, rounds: int = ROUNDS, id_column: str = "doc
             full = [k for k, c in enumerate(codes) if len(c)]
             out = np.full((len(batch), len(STATES)), np.nan)
             if full:
-                both, _ = model.posterior([codes[k] for k in full])
+                both, _, _ = model.posterior([codes[k] for k in full])
                 for k, b in zip(full, both):
                     w = np.asarray(batch["weights"].iloc[k], dtype=float)
                     share = (b * w[:, None]).sum(axis=0) / w.sum()

@@ -98,18 +98,52 @@ def test_batched_passes_equal_one_document_at_a_time():
     top = int(np.prod(X.SIZES))
     codes = [rng.integers(0, top, n) for n in (1, 7, 3, 1, 12)]
     m = X.Model()
-    together, steps = m.posterior(codes)
+    together, steps, likelihood = m.posterior(codes)
     alone = [m.posterior([c]) for c in codes]
     assert all(np.allclose(a, b[0][0]) for a, b in zip(together, alone))
     assert np.allclose(steps, sum(b[1] for b in alone)) and np.isclose(steps.sum(), sum(len(c) - 1 for c in codes))
-    for c, p in zip(codes, together):
-        brute = np.zeros((len(c), len(X.HIDDEN)))
+    assert np.isclose(likelihood, sum(b[2] for b in alone))
+    for c, p, one in zip(codes, together, alone):
+        brute, whole = np.zeros((len(c), len(X.HIDDEN))), 0.0
         if len(c) <= 3:
             from itertools import product
 
             e = np.exp(sum(np.log(x)[:, X.unpack(c)[:, k]] for k, x in enumerate(m.emit)).T)
             for path in product(range(len(X.HIDDEN)), repeat=len(c)):
                 w = m.start[path[0]] * np.prod([m.step[a, b] for a, b in zip(path, path[1:])]) * np.prod([e[t, s] for t, s in enumerate(path)])
+                whole += w
                 for t, s in enumerate(path):
                     brute[t, s] += w
-            assert np.allclose(p, brute / brute.sum(axis=1, keepdims=True))
+            assert np.allclose(p, brute / brute.sum(axis=1, keepdims=True)) and np.isclose(one[2], np.log(whole))
+    # A document that counts three times is three documents.
+    thrice, plain = m.expected(codes, np.array([3, 1, 1, 1, 1])), m.expected([codes[0], codes[0], *codes])
+    assert np.allclose(thrice, plain)
+
+
+def test_training_raises_the_likelihood_and_moves_the_chances(spark):
+    df = spark.createDataFrame([(k, t) for k, t, _ in corpus(6, 500)], "doc_id long, text string")
+    known = spark.sparkContext.broadcast(X.common_words(df))
+    lines = df.mapInArrow(X._lines(known), X.LINES)
+    model, told = X.train(lines)
+    assert len(told) >= 2 and all(b >= a - 1e-6 for a, b in zip(told[1:], told[2:])) and told[-1] > told[0] + 0.1
+    assert max(float(np.abs(a - np.array(b)).max()) for a, b in zip(model.emit, X.FEATURES.values())) > 0.05
+    assert all(np.allclose(e.sum(axis=1), 1) for e in model.emit)
+
+
+def test_common_words_are_all_that_reach_the_share(spark):
+    many = [f"w{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(6000)]
+    df = spark.createDataFrame([(k, " ".join(many)) for k in range(3)], "doc_id long, text string")
+    assert X.common_words(df) == sorted(many)  # more than any round number of them
+
+
+def test_observations_of_lines():
+    import pyarrow as pa
+
+    names = list(X.FEATURES)
+    common = pa.array(["das", "ist", "ein", "haus"])
+    seen, weights = X.observe(pa.array(["Das ist ein Haus.", "- Haus", "| a | b | c |", "=====", "Kapitel 3 ........ 12", "xq" * 30, "Das. Ist es? Ja"]), common)
+    of = [dict(zip(names, row.tolist())) for row in X.unpack(seen)]
+    assert (of[0]["sentence"], of[0]["common"], of[0]["words"], of[0]["mark"], of[0]["columns"]) == (1, 3, 2, 0, 0)
+    assert of[1]["mark"] == 1 and of[2]["columns"] == 3 and of[3]["tokens"] == 3 and of[4]["leader"] == 1 and of[5]["tokens"] == 2 and of[6]["sentence"] == 2
+    assert weights.tolist() == [14, 4, 7, 5, 18, 60, 12]
+    assert X.observe(pa.array([], pa.string()), common)[0].size == 0
