@@ -1,9 +1,9 @@
 """Problem 2: items whose answer does not serve their question, with the kind of defect.
 
 For each defect several noisy labelling functions vote for, against or not at all. How far each vote can
-be trusted is learned without labels: expectation maximisation over the counts of all patterns of votes.
-An item keeps every defect whose posterior exceeds that defect's cutoff; where one is asked for, the
-surest kind of evidence decides.
+be trusted is learned without labels, from one belief about all of them: expectation maximisation over the
+counts of all patterns of a defect's votes. The functions of one defect don't look at the others, so an item
+keeps every defect whose posterior exceeds the cutoff; where one is asked for, the order of DEFECTS decides.
 """
 
 from __future__ import annotations
@@ -20,23 +20,21 @@ from quire.session import cut
 
 #: From the defect that excludes the others most surely on: an empty answer is in no language, a refusal may be in any.
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
-#: Posteriors from which a defect is kept. tests/llm/test_pairs.py validates them on items with seeded defects.
-CUTOFFS = {"empty": 0.5, "copy": 0.5, "refusal": 0.2, "language": 0.5, "truncated": 0.5}
-#: Before any vote is seen: the share of items with the defect, and for each function how often it votes for
-#: the defect, where it votes at all, in items with the defect and in others.
-BELIEFS = {
-    "empty": (0.02, [(0.40, 0.0005), (0.70, 0.0005), (0.30, 0.001), (0.95, 0.02)]),
-    "copy": (0.02, [(0.95, 0.001), (0.90, 0.001), (0.90, 0.005)]),
-    "refusal": (0.02, [(0.20, 0.0005), (0.90, 0.001), (0.35, 0.001), (0.30, 0.002)]),
-    "language": (0.02, [(0.90, 0.010), (0.85, 0.010)]),
-    "truncated": (0.02, [(0.80, 0.002), (0.95, 0.001), (0.90, 0.002), (0.90, 0.002), (0.15, 0.0002)]),
-}
-#: The beliefs weigh as many items.
-WEIGHT, ROUNDS = 500.0, 25
-#: An answer found in so many types of items that need different ones doesn't depend on its question.
+#: Posterior from which a defect is kept; tests/llm/test_pairs.py validates it on seeded defects of two sets of templates.
+CUTOFFS = dict.fromkeys(DEFECTS, 0.5)
+#: What is believed before any vote is seen, the same of every function: the share of items with its defect, and
+#: how often it votes for the defect, where it votes at all, in items with the defect and in others.
+SHARE, HIT, FALSE = 0.02, 0.6, 0.01
+#: These beliefs weigh as much as this share of the items, one item at least. Rounds end when no posterior moves by GAIN.
+WEIGHT, ROUNDS, GAIN = 3e-4, 100, 1e-5
+#: An answer at home in so many types of items that need different ones doesn't depend on its question.
 SPREAD = 4
-#: The same for a sentence: one found in so many types is no answer to any question.
+#: The same for a sentence: one at home in so many types is no answer to any question.
 SENTENCE_SPREAD, SENTENCE_LEAST = 5, 14
+#: An answer is at home in a type that has at least this part of what it would have if types played no part.
+AT_HOME = 0.2
+#: A word is known in a language from so many texts on, and from this share of them.
+KNOWN, KNOWN_SHARE = 5, 3e-5
 
 # Item types that need no answer, and the mark that stands in for one there.
 FREE = ["writing-task", "speaking-task", "open-ended"]
@@ -127,11 +125,26 @@ def _known_words(items: DataFrame) -> DataFrame:
     words = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?<![\p{L}])\p{Ll}{2,}"), F.lit(0)))
     own = F.when(F.col("said") == F.col("spoken"), F.array("answer")).otherwise(F.array().cast("array<string>"))
     texts = items.select("spoken", F.explode(F.concat(F.array("question"), "options", own)).alias("t")).groupBy("spoken", "t").count()
-    vocabulary = texts.select("spoken", F.explode(words(F.col("t"))).alias("word"), "count").groupBy("spoken", "word").agg(F.sum("count").alias("n")).where("n >= 5").select("spoken", "word", F.lit(1).alias("is"))
+    vocabulary = texts.select("spoken", F.explode(words(F.col("t"))).alias("word"), "count").groupBy("spoken", "word").agg(F.sum("count").alias("n"))
+    size = items.groupBy("spoken").agg(F.count(F.lit(1)).alias("items"))
+    vocabulary = vocabulary.join(size, "spoken").where(F.col("n") >= F.greatest(F.lit(KNOWN), F.col("items") * KNOWN_SHARE)).select("spoken", "word", F.lit(1).alias("is"))
     answers = items.where(F.length("answer") > 6).select("spoken", "answer").distinct().withColumn("ws", words(F.when(endings.marked(F.col("answer")), F.col("answer")).otherwise(F.regexp_replace("answer", r"\S+\s*$", "")))).where(F.size("ws") >= 3)
     return answers.select("spoken", "answer", F.explode("ws").alias("word")).join(vocabulary, ["spoken", "word"], "left").groupBy("spoken", "answer").agg(F.avg(F.coalesce("is", F.lit(0))).alias("known"))
 
 
+def _spread(rows: DataFrame, name: str, types: DataFrame, least: int) -> DataFrame:
+    """name, types: in how many types of items each value is at home; values too rare to have met so many are left out.
+
+    Measured against the share that a type has of all items, so it doesn't grow with their number.
+    """
+    counts = rows.groupBy(name, "type").agg(F.count(F.lit(1)).alias("n"))
+    all_ = counts.groupBy(name).agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("met")).where((F.col("met") >= least) | (F.col("all") >= 2 * least)).drop("met")
+    total = types.agg(F.sum("of_type").alias("total"))  # one row
+    expected = F.col("all") * F.col("of_type") / F.col("total")
+    met = counts.join(all_, name).join(types, "type").join(F.broadcast(total))
+    return met.groupBy(name).agg(F.count_if(F.col("n") >= AT_HOME * expected).alias("types"))
+
+
 def _sentences(answer: Column) -> Column:
     """The sentences of an answer, letters and digits only; short ones say nothing."""
     parts = F.transform(F.split(answer, r"[.!?\[\]()]+"), lambda p: loose(p))
@@ -148,10 +161,13 @@ def votes(items: DataFrame) -> DataFrame:
     items = items.join(books, "book", "left").withColumn("key", loose(F.col("answer"))).withColumn("asked", loose(F.col("question")))
     items = items.withColumn("free", F.col("type").isin(*FREE)).withColumn("said", language(F.col("answer")))
     items = cut(items)
-    wide = items.where(~F.col("free") & (F.col("key") != "")).groupBy("key").agg(F.size(F.collect_set("type")).alias("spread")).where(F.col("spread") >= SPREAD)
-    said = items.where(~F.col("free")).select("answer", "type", F.explode(_sentences(F.col("answer"))).alias("sentence"))
-    common = said.groupBy("sentence").agg(F.size(F.collect_set("type")).alias("types")).where(F.col("types") >= SENTENCE_SPREAD).select("sentence")
-    shared = said.join(common, "sentence", "left_semi").select("answer").distinct().withColumn("shared", F.lit(True))
+    due = items.where(~F.col("free") & (F.col("key") != ""))
+    types = cut(due.groupBy("type").agg(F.count(F.lit(1)).alias("of_type")))
+    wide = _spread(due, "key", types, SPREAD).where(F.col("types") >= SPREAD).withColumnRenamed("types", "spread")
+    said = due.select("answer", "type", F.explode(_sentences(F.col("answer"))).alias("sentence"))
+    # An answer all of whose sentences are rare isn't judged.
+    common = _spread(said, "sentence", types, SENTENCE_SPREAD).select("sentence", (F.col("types") >= SENTENCE_SPREAD).alias("is"))
+    shared = said.select("answer", "sentence").distinct().join(common, "sentence").groupBy("answer").agg(F.bool_or("is").alias("shared"))
     known = _known_words(items)
     kinds = F.concat_ws("|", "type", F.coalesce("said", "spoken", F.lit("")))
     answers = items.where(F.char_length("answer") > 3).select(kinds.alias("kind"), F.col("answer").alias("text")).groupBy("kind", "text").agg(F.count(F.lit(1)).alias("n"))
@@ -188,13 +204,12 @@ def _vote(rows: DataFrame) -> DataFrame:
     polite = q.rlike(_POLITE) | a.rlike(_PERSONAL)
     spoken, said, known = F.col("spoken"), F.col("said"), F.col("known")
     translation = q.rlike(_ASKS_TRANSLATION) | F.col("instruction").rlike(_ASKS_TRANSLATION)
-    refuses = a.rlike(_SELF) | (a.rlike(_CANNOT) & a.rlike(_TASK)) | a.rlike(_REQUEST)
     letter = a.rlike(r"^\W*[a-eA-E]\W*$")
     judged = (F.char_length(a) > 3) & ~free
     due = ~free
     filled_in = due & (F.length(key) > 0)
-    text = filled_in & ~letter & ~is_option & ~same
-    whole_sentence = text & ~refuses
+    # Functions of one defect don't look at another: an item may get votes for several.
+    text = filled_in & ~letter & ~is_option
     out = {
         # nothing is there; no letter or digit is there; a known placeholder; a short answer that all types share
         "empty_1": vote(~a.rlike(r"[^\s\p{Z}\p{C}]"), due),
@@ -215,10 +230,10 @@ def _vote(rows: DataFrame) -> DataFrame:
         "refusal_1": vote(a.rlike(_SELF), text),
         "refusal_2": vote(a.rlike(_CANNOT) & a.rlike(_TASK) & ~(polite & ~a.rlike(_SELF) & ~spread & ~a.rlike(_TASK)), text),
         "refusal_3": vote(a.rlike(_REQUEST), text & (F.size(put) > 4)),
-        "refusal_4": vote(F.col("shared"), text & (F.length(key) >= SENTENCE_LEAST)),
+        "refusal_4": vote(F.col("shared"), text & F.col("shared").isNotNull()),
         # function words of another language; hardly any word that its language's questions have
-        "language_1": vote((said != spoken) & ~translation, whole_sentence & said.isNotNull()),
-        "language_2": vote((known < 0.34) & ~translation, whole_sentence & known.isNotNull()),
+        "language_1": vote((said != spoken) & ~translation, text & said.isNotNull()),
+        "language_2": vote((known < 0.34) & ~translation, text & known.isNotNull()),
         # it stops where no answer of its type does; it is the beginning of an option; words to be ordered are
         # missing; the sentence around the gap stops; a broken character
         "truncated_1": vote(F.col("early"), text & (F.char_length(a) > 3) & (F.size("options") < 2)),
@@ -230,16 +245,19 @@ def _vote(rows: DataFrame) -> DataFrame:
     return rows.select("question_id", *[c.cast("int").alias(n) for n, c in out.items()])
 
 
-def fit(counts: dict[tuple[int, ...], int], belief: tuple[float, list[tuple[float, float]]], weight: float = WEIGHT, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+def fit(counts: dict[tuple[int, ...], int], weight: float = WEIGHT, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
     """Posterior of a defect for each pattern of its votes, by expectation maximisation over their counts.
 
-    A function that doesn't vote on an item says nothing about it.
+    All functions start alike; how far each can be trusted is learned from how they agree. A function that
+    doesn't vote on an item says nothing about it.
     """
     # Items that no function could judge say nothing of how rare the defect is among the others.
     patterns = [p for p in counts if any(p)]
-    share, start = belief
-    prior, trust = share, [list(x) for x in start]
+    if not patterns:
+        return dict.fromkeys(counts, 0.0)
     total = sum(counts[p] for p in patterns)
+    weight = max(1.0, weight * sum(counts.values()))
+    prior, trust = SHARE, [[HIT, FALSE] for _ in patterns[0]]
     post: dict[tuple[int, ...], float] = {}
 
     def log(k: int, side: int, vote: int) -> float:
@@ -247,21 +265,24 @@ def fit(counts: dict[tuple[int, ...], int], belief: tuple[float, list[tuple[floa
         return 0.0 if vote == 0 else math.log(p if vote == 1 else 1 - p)
 
     for _ in range(rounds):
+        before = dict(post)
         for p in patterns:
             odds = math.log(prior) - math.log(1 - prior) + sum(log(k, 0, v) - log(k, 1, v) for k, v in enumerate(p))
             post[p] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
+        if before and max(abs(post[p] - before[p]) for p in patterns) < GAIN:
+            break
         mass = sum(counts[p] * post[p] for p in patterns)
-        prior = min(0.5, (mass + weight * share) / (total + weight))
-        for k, (hit, false) in enumerate(start):
-            for side, belief_of in ((0, hit), (1, false)):
+        prior = min(0.5, (mass + weight * SHARE) / (total + weight))
+        for k in range(len(trust)):
+            for side, belief in ((0, HIT), (1, FALSE)):
                 of = {p: counts[p] * (post[p] if side == 0 else 1 - post[p]) for p in patterns if p[k] != 0}
-                trust[k][side] = (sum(n for p, n in of.items() if p[k] == 1) + weight * belief_of) / (sum(of.values()) + weight)
+                trust[k][side] = (sum(n for p, n in of.items() if p[k] == 1) + weight * belief) / (sum(of.values()) + weight)
             # A function never speaks for a defect by voting against it.
             trust[k][0] = max(trust[k][0], trust[k][1])
     return {p: post.get(p, 0.0) for p in counts}
 
 
-def defects(items: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFrame:
+def defects(items: DataFrame, cutoffs: dict[str, float] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """question_id, defect, posterior: each defect of each item whose posterior exceeds the defect's cutoff.
 
     ``items`` has question_id, collection, item_type, instruction, question, option_a to option_e and
@@ -276,7 +297,7 @@ def defects(items: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFr
     for defect in DEFECTS:
         names = [c for c in voted.columns if c.startswith(defect + "_")]
         counts = {tuple(r[n] for n in names): r["count"] for r in voted.groupBy(*names).count().collect()}
-        post = fit(counts, BELIEFS[defect])
+        post = fit(counts, rounds=rounds)
         # A defect needs a vote for it, however rare the votes against it are.
         sure = [(*p, float(x)) for p, x in post.items() if x > cutoffs[defect] and 1 in p]
         schema = ", ".join(f"{n} int" for n in names) + ", posterior double"

