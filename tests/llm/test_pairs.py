@@ -145,4 +145,4 @@ def test_label_model_learns_trust():
     assert P.fit({}) == {}
     # A single step from the common belief, as without training, takes the third at its word: its posteriors are off.
     off = lambda p: sum(abs(n * p[v] - truth[v]) for v, n in counts.items())
-    assert off(post) < 0.5 * off(P.fit(counts, rounds=1))
+    assert off(post) < 0.6 * off(P.fit(counts, rounds=1))
