@@ -200,34 +200,27 @@ def loose_frontmatter(page: Column) -> Column:
     return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, r"^[^:]*:", "")))))
 
 
+# Marks that a title loses, entities that stand for a space in it, and lines that only number a page.
+TITLE_MARKS = r"^\s*#+|[*_`>|\[\]]"
+TITLE_SPACES = r"<!--.*?-->|&(?:nbsp|#160|thinsp|ensp|emsp);"
+TITLE_NUMBERS = r"(?i)^(?:(?:page|seite|p)\s*\.?\s*)?\d+$"
+
+
 def page_title(c: Column) -> Column:
-    """The first line that says something: no comment, blank line, page number or bare number.
+    """The first line that says something, of at most 90 characters; '' if there is none, or for null.
 
-    A comment that opens at a line's start hides all up to and with the line that closes it. Marks of
-    headings, emphasis and links are taken off, entities for spaces become one, and the title is cut to 90
-    characters. '' if there is no such line. The lines are folded with a state, as comments span them.
+    A comment that opens a line is taken out with all lines it reaches, up to the end of the line that closes
+    it, or of the page. Of the other lines, without markup, the first counts that isn't empty or a number.
     """
-    lines = F.split(c, r"\r\n|\r|\n")
-
-    def tidy(line: Column) -> Column:
-        s = F.regexp_replace(line, r"<!--.*?-->", " ")
-        s = F.regexp_replace(s, r"^#+\s*", "")
-        s = F.regexp_replace(s, r"[*_`>|\[\]]", "")
-        s = F.regexp_replace(s, r"&(?:nbsp|#160|thinsp|ensp|emsp);", " ")
-        return F.trim(F.regexp_replace(s, f"{SPACE}+", " "))
-
-    start = F.struct(F.lit(False).alias("hidden"), F.lit("").alias("title"))
-
-    def step(state: Column, line: Column) -> Column:
-        s = F.trim(F.regexp_replace(line, f"^{SPACE}+|{SPACE}+$", ""))
-        opens = s.startswith("<!--")
-        text = tidy(s)
-        useless = (text == "") | text.rlike(r"(?i)^(?:page|seite|p)\s*\.?\s*\d+$") | text.rlike(r"^\d+$")
-        hidden = F.when(state["hidden"], ~s.contains("-->")).otherwise(opens & ~s.contains("-->"))
-        title = F.when((state["title"] != "") | state["hidden"] | (s == "") | opens | useless, state["title"]).otherwise(F.trim(F.substring(text, 1, 90)))
-        return F.struct(hidden.alias("hidden"), title.alias("title"))
-
-    return F.coalesce(F.aggregate(lines, start, step)["title"], F.lit(""))
+    shown = F.regexp_replace(c, rf"(?ms)^{SPACE}*<!--.*?(?:-->[^\r\n]*|\z)", "")
+    lines = F.transform(F.split(shown, r"[\r\n]+"), lambda x: flat(F.regexp_replace(F.regexp_replace(x, TITLE_SPACES, " "), TITLE_MARKS, "")))
+    title = F.get(F.filter(lines, lambda x: (x != "") & ~x.rlike(TITLE_NUMBERS)), F.lit(0))
+    return F.coalesce(F.trim(F.substring(title, 1, 90)), F.lit(""))
+
+
+def humanised(c: Column) -> Column:
+    """A column's name as a label: spaces for underscores, a capital first; ``qa`` is QA."""
+    return F.when(c == "qa", "QA").otherwise(capitalised(F.replace(c, F.lit("_"), F.lit(" "))))
 
 
 def visible_text(html: Column) -> Column:

@@ -50,8 +50,10 @@ def type_fill(rows: DataFrame, kind: str, parts: Mapping[str, Column]) -> DataFr
 
 
 def tiers(rows: DataFrame, levels: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Measures for each level from the finest to the whole; null stands for all."""
-    return rows.rollup(*levels).agg(*[c.alias(name) for name, c in measures.items()])
+    """Measures for each level from the finest to the whole, and ``tier``, the number of levels that are given: a null
+    value of a level that is given is a group of its own, of one that isn't it stands for all."""
+    tier = (F.lit(len(levels)) - F.bit_count(F.grouping_id())).cast("int")
+    return rows.rollup(*levels).agg(tier.alias("tier"), *[c.alias(name) for name, c in measures.items()])
 
 
 def top_with_rest(counts: DataFrame, top: int, value: str = "value", name: str = "n", rest: str = "Other") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.operators.merge import resequence
 from quire.operators.quality import CANONICAL
 from quire.operators.relations import enrich
 
@@ -72,9 +73,11 @@ def tag_line(*parts: Column) -> Column:
 
 
 def display_title(books: DataFrame) -> Column:
-    """A book's title, or its level and file name made into one."""
-    stem = X.title_cased(F.replace(X.path_stem(F.coalesce(F.nullif("pdf", F.lit("")), F.col("slug"))), F.lit("-"), F.lit(" ")))
-    return F.coalesce(F.nullif("title", F.lit("")), F.concat_ws(" - ", F.coalesce("level", F.lit("")), stem))
+    """A book's title, or its level, variant and file name made into one; parts that are missing leave their place empty."""
+    named = lambda c: X.title_cased(F.replace(c, F.lit("-"), F.lit(" ")))
+    variant = named(F.coalesce("variant", F.lit(""))) if "variant" in books.columns else F.lit("")
+    stem = named(X.path_stem(F.coalesce(F.nullif("pdf", F.lit("")), F.col("slug"))))
+    return F.coalesce(F.nullif("title", F.lit("")), F.concat_ws(" - ", F.coalesce("level", F.lit("")), variant, stem))
 
 
 def book_counts(books: DataFrame, pages: DataFrame, items: DataFrame, words: DataFrame) -> DataFrame:
@@ -85,6 +88,32 @@ def book_counts(books: DataFrame, pages: DataFrame, items: DataFrame, words: Dat
     return out
 
 
+def build_counters(pages: DataFrame, items: DataFrame) -> DataFrame:
+    """collection, classified, answered: pages with an activity, and items with an answer that says something."""
+    told = pages.groupBy("collection").agg(F.count_if(X.filled(F.col("activity_type"))).alias("classified"))
+    answer = X.strip(F.coalesce("correct_answer", F.lit("")))
+    done = items.groupBy("collection").agg(F.count_if((answer != "") & (answer != "(open-ended)")).alias("answered"))
+    return told.join(done, "collection", "full_outer").select("collection", F.coalesce("classified", F.lit(0)).alias("classified"), F.coalesce("answered", F.lit(0)).alias("answered"))
+
+
+def in_order(items: DataFrame, tie: str, name: str = "place") -> DataFrame:
+    """Items numbered from 0 within their book, by page and item as texts, so that 10 stands before 2."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return resequence(items, ["collection"], [text("source_page"), text("item"), tie], name)
+
+
+def combined_families(counts: DataFrame, least: int = 2) -> DataFrame:
+    """family, books: families with so many live books that a combined sheet is worth it."""
+    return live(counts).groupBy("family").agg(F.count(F.lit(1)).alias("books")).where(F.col("books") >= least)
+
+
+def item_count(json: Column) -> Column:
+    """The items or entries of a merged file, or of a bare list; -1 for what can't be read."""
+    held = F.when(F.try_parse_json(json).isNotNull(), json)
+    of = [F.json_array_length(F.get_json_object(held, "$.items")), F.json_array_length(F.get_json_object(held, "$.entries")), F.json_array_length(held)]
+    return F.coalesce(*of, F.lit(-1))
+
+
 def live(counts: DataFrame) -> DataFrame:
     """Books with anything in them."""
     return counts.where(F.greatest("pages", "questions", "words") > 0)

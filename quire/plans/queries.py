@@ -70,7 +70,7 @@ def book_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(r"""
-select slug, coalesce(nullif(title, ''), coalesce(level, '') || ' - ' || array_to_string(list_transform(
+select slug, coalesce(nullif(title, ''), coalesce(level, '') || ' -  - ' || array_to_string(list_transform(
   regexp_extract_all(replace(regexp_replace(regexp_extract(coalesce(nullif(pdf, ''), slug), '([^/]*)$', 1), '(.)\.[^.]*$', '\1'), '-', ' '), '\p{L}+|[^\p{L}]+'),
   lambda p: upper(p[1]) || lower(p[2:])), '')) as title
 from collections""")
@@ -130,7 +130,7 @@ def item_type_fill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select family, collection, count(*) as n, count(distinct source_page) as pages
+select family, collection, (2 - grouping(family) - grouping(collection))::int as tier, count(*) as n, count(distinct source_page) as pages
 from questions join collections on slug = collection group by rollup (family, collection)""")
 def question_tiers(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "questions").join(table(spark, folder, "collections").select(F.col("slug").alias("collection"), "family"), "collection")
@@ -138,7 +138,7 @@ def question_tiers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select r_name, n_name, count(*) as customers, round(sum(c_acctbal), 2) as balance
+select r_name, n_name, (2 - grouping(r_name) - grouping(n_name))::int as tier, count(*) as customers, round(sum(c_acctbal), 2) as balance
 from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey group by rollup (r_name, n_name)""")
 def customer_tiers(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "customer").join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -198,11 +198,11 @@ def first_entry_kept(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select collection, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct chunk) as origins
-from questions group by 1, 2, 3 having count(distinct chunk) > 1""")
+select collection, coalesce(source_page, '') as source_page, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct chunk) as origins
+from questions group by 1, 2, 3, 4 having count(distinct chunk) > 1""")
 def chunk_collisions(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "questions")
-    return merge.collisions(rows, ["collection", "part", "item"], "chunk")
+    return merge.collisions(rows, ["collection", "source_page", "part", "item"], "chunk")
 
 
 @query("select collection, cast(sum(n - 1) as bigint) as overwrites from (select collection, unit, count(*) as n from catalog_pages group by 1, 2) group by 1")
@@ -342,16 +342,23 @@ def question_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-with v as (select catalog_id as line, unnest(list_filter(list_transform(string_split(regexp_replace(content_type, '^[\\[\\]]+|[\\[\\]]+$', '', 'g'), ','), lambda x: trim(x)), lambda x: x <> '')) as value from catalog_pages)
+with p as (select catalog_id, content_type || ', ' || regexp_replace(lower(summary), '[^a-z0-9]+', '-', 'g') as content_type from catalog_pages),
+v as (select catalog_id as line, unnest(list_filter(list_transform(string_split(regexp_replace(content_type, '^[\\[\\]]+|[\\[\\]]+$', '', 'g'), ','), lambda x: trim(x)), lambda x: x <> '')) as value from p)
 select 'content_type' as "column", value, count(*) as n, min(line) as first_line, case when regexp_matches(value, '[^\\x00-\\x7f]') then 'non-ascii' when regexp_matches(value, '^[a-z0-9]+(-[a-z0-9]+){3,}$') then 'slugified prose' else 'drift' end as finding
 from v where regexp_matches(value, '[^\\x00-\\x7f]') or value not in (""" + _listed(quality.OPEN["content_type"]) + ") group by 1, 2")
 def content_type_drift(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.taxonomy(table(spark, folder, "catalog_pages").select("catalog_id", "content_type"), F.col("catalog_id"))
+    """Tags to which each page's summary was added as one more, made into a slug."""
+    slug = F.regexp_replace(F.lower("summary"), "[^a-z0-9]+", "-")
+    pages = table(spark, folder, "catalog_pages").select("catalog_id", F.concat("content_type", F.lit(", "), slug).alias("content_type"))
+    return quality.taxonomy(pages, F.col("catalog_id"))
 
 
-@query(f"select question_id, collection from questions where item_type = 'multiple-choice' and not {_ANY_OPTION}")
+@query(f"select question_id, collection from questions where item_type = 'multiple-choice' and (not {_ANY_OPTION} or level is null)")
 def choice_without_options(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.choice_without_options(table(spark, folder, "questions")).select("question_id", "collection")
+    """Items that lost their options where they have no level."""
+    items = table(spark, folder, "questions")
+    items = items.withColumns({c: F.when(F.col("level").isNotNull(), F.col(c)) for c in quality.OPTIONS})
+    return quality.choice_without_options(items).select("question_id", "collection")
 
 
 @query("""
@@ -381,9 +388,38 @@ def level_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return answers.level_gaps(table(spark, folder, "questions"), table(spark, folder, "collections"))
 
 
-@query()
+def _near(x: str) -> str:
+    return f"len(list_filter(options, lambda o: contains({x}, o) or contains(o, {x}))) > 0"
+
+
+def _repair_sql() -> str:
+    first = lambda lang: "case " + " ".join(f"when regexp_matches(bare, '(?i)^\\s*{t}($|[^\\p{{L}}\\p{{N}}_])') then '{t}'" for t in answers.TRUE_FALSE[lang]) + " end"
+    free = _listed(answers.OPEN_ENDED)
+    return f"""
+with q as (select question_id, correct_answer, coalesce(correct_answer, '') as a, {_strip("coalesce(correct_answer, '')")} as bare, coalesce(item_type, '') as kind, lang,
+    list_filter([coalesce(option_a, ''), coalesce(option_b, ''), coalesce(option_c, ''), coalesce(option_d, ''), coalesce(option_e, '')], lambda o: o <> '') as options, option_a, option_b, option_c, option_d, option_e
+  from questions left join collections on slug = collection),
+t as (select *, case lang when 'de' then {first('de')} when 'fr' then {first('fr')} else {first('en')} end as term, regexp_matches(bare, '^[a-dA-D]\\.?$') as letter,
+    nullif(case lower(left(bare, 1)) when 'a' then option_a when 'b' then option_b when 'c' then option_c when 'd' then option_d end, '') as named, regexp_extract(a, '^(\\s*)', 1) as lead,
+    list_filter(list_transform(regexp_split_to_array(bare, '\\s+(?:et|and|und|y)\\s+|[;,]'), lambda p: regexp_replace(p, '^[ .;,]+|[ .;,]+$', '', 'g')), lambda p: p <> '') as parts from q),
+h as (select *, substr(a, len(lead) + 1, len(term)) as head, substr(a, len(lead) + len(term) + 1) as rest from t),
+r as (select question_id, correct_answer,
+    case when bare <> '' and kind = 'true-false' and term is not null then
+        case when lower(bare) = term then upper(bare[1]) || lower(bare[2:]) when head[1] <> upper(head[1]) then lead || upper(head[1]) || lower(head[2:]) || rest else a end
+      when bare <> '' and kind = 'multiple-choice' and letter and named is not null then named else correct_answer end as fixed,
+    case when kind not in ({_listed(quality.CLOSED['item_type'])}) then 'unknown item type'
+      when bare <> '' and kind = 'true-false' and term is null then 'starts with no expected term'
+      when bare <> '' and kind = 'multiple-choice' and letter and named is null then 'names a missing option'
+      when bare <> '' and kind = 'multiple-choice' and not letter and bare <> '(open-ended)' and len(options) > 0
+        and not ({_near('bare')} or (len(parts) > 1 and len(list_filter(parts, lambda p: not ({_near('p')}))) = 0)) then 'not among its options'
+      when bare <> '' and kind in ({free}) and bare <> '(open-ended)' and contains(lower(bare), 'open-ended') and not starts_with(bare, '(open-ended:') then 'open-ended in another format' end as issue
+  from h)
+select question_id, fixed, issue from r where fixed is distinct from correct_answer or issue is not null"""
+
+
+@query(_repair_sql())
 def answer_repair(spark: SparkSession, folder: str) -> DataFrame:
-    """Answers that are repaired or need a look; checked case by case in tests/test_answers.py."""
+    """Answers that are repaired or need a look."""
     items = table(spark, folder, "questions").join(table(spark, folder, "collections").select(F.col("slug").alias("collection"), "lang"), "collection", "left")
     checked = answers.check(items, F.col("lang"))
     return checked.where(~F.col("fixed").eqNullSafe(F.col("correct_answer")) | F.col("issue").isNotNull()).select("question_id", "fixed", "issue")
@@ -414,6 +450,119 @@ def explore_page(spark: SparkSession, folder: str) -> DataFrame:
     return explore.page(found, [F.desc("collection"), "question_id"], number=1).select("question_id", "collection", "question")
 
 
+# --- pages, counters, order ----------------------------------------------------------------------
+
+
+_ONE_LINE = r"trim(regexp_replace(coalesce({}, ''), '[\r\n]+', ' ', 'g'))"
+
+
+@query(rf"""
+with k as (select collection, regexp_extract(unit, '(\d+)$', 1)::int as no, max(coalesce(activity_type, '')) as activity_type, max(coalesce(topic, '')) as topic, max(coalesce(summary, '')) as summary
+  from catalog_pages where regexp_matches(unit, '\d$') group by 1, 2)
+select p.collection, p.unit, regexp_replace({_ONE_LINE.format('p.section')}, '^"+|"+$', '', 'g') as section, regexp_replace({_ONE_LINE.format('p.chapter')}, '^"+|"+$', '', 'g') as chapter,
+  {_ONE_LINE.format('p.content_type')} as content_type, coalesce(k.activity_type, '') as activity_type, coalesce(k.topic, '') as topic, coalesce(p.level, c.level, '') as level, coalesce(p.status, '') as status, coalesce(p.qa, '') as qa,
+  (3 + coalesce(len(regexp_extract_all(p.summary, '[^\s\x0b\p{{Z}}]+')), 0))::int as word_count, coalesce(k.summary, '') as summary, 'Kapitel ' || p.catalog_id as title
+from catalog_pages p left join collections c on c.slug = p.collection left join k on k.collection = p.collection and k.no = try_cast(regexp_extract(p.unit, '(\d+)$', 1) as int)""")
+def page_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalog built from whole pages: frontmatter and body are written out of the sheet and read again."""
+    rows = table(spark, folder, "catalog_pages")
+    line = lambda name, c: F.concat(F.lit(f"{name}: "), F.regexp_replace(F.coalesce(c, F.lit("")), r"[\r\n]+", " "), F.lit("\n"))
+    level = F.when(F.col("level").isNotNull(), line("level", F.col("level"))).otherwise("")
+    front = F.concat(F.lit("---\n"), *[line(c, F.col(c)) for c in ("section", "chapter", "content_type", "status", "qa")], level, F.lit("---\n\n"))
+    pages = rows.select("collection", "unit", F.concat(front, F.lit("# **Kapitel** "), F.col("catalog_id").cast("string"), F.lit("\n\n"), F.coalesce("summary", F.lit(""))).alias("page"))
+    named = rows.where(F.col("unit").rlike(r"\d$")).groupBy("collection", F.regexp_extract("unit", r"(\d+)$", 1).cast("int").alias("page"))
+    classes = named.agg(*[F.max(F.coalesce(c, F.lit(""))).alias(c) for c in ("activity_type", "topic", "summary")])
+    return sheets.catalog(pages, classes, table(spark, folder, "collections"))
+
+
+@query(f"""
+select coalesce(p.collection, q.collection) as collection, coalesce(classified, 0) as classified, coalesce(answered, 0) as answered
+from (select collection, count(*) filter (where {_filled('activity_type')}) as classified from catalog_pages group by 1) p
+full outer join (select collection, count(*) filter (where {_strip("coalesce(correct_answer, '')")} not in ('', '(open-ended)')) as answered from questions group by 1) q on p.collection = q.collection""")
+def build_counters(spark: SparkSession, folder: str) -> DataFrame:
+    return sheets.build_counters(table(spark, folder, "catalog_pages"), table(spark, folder, "questions"))
+
+
+@query("select question_id, (row_number() over (partition by collection order by coalesce(source_page, ''), coalesce(item, ''), question_id) - 1)::int as place from questions")
+def question_order(spark: SparkSession, folder: str) -> DataFrame:
+    return sheets.in_order(table(spark, folder, "questions"), "question_id").select("question_id", F.col("place").cast("int").alias("place"))
+
+
+@query("""
+select family, count(*) as books from collections
+where slug in (select collection from catalog_pages union select collection from questions union select collection from vocabulary) group by 1 having count(*) >= 2""")
+def combined_families(spark: SparkSession, folder: str) -> DataFrame:
+    parts = [table(spark, folder, t) for t in ("collections", "catalog_pages", "questions", "vocabulary")]
+    return sheets.combined_families(sheets.book_counts(*parts))
+
+
+@query("select slug, case when frozen then -1 else len(coalesce(level_options, [])) end::int as items from collections")
+def item_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """A merged file for each book, that of a frozen one cut off."""
+    books = table(spark, folder, "collections")
+    name = F.when(F.col("lang") == "de", "items").otherwise("entries")
+    merged = F.concat(F.lit('{"'), name, F.lit('": '), F.to_json(F.coalesce("level_options", F.array().cast("array<string>"))), F.when(F.col("frozen"), "").otherwise("}"))
+    return books.select("slug", sheets.item_count(merged).cast("int").alias("items"))
+
+
+@query("select slug, upper(left(replace(f, '_', ' '), 1)) || lower(substr(replace(f, '_', ' '), 2)) as label from collections, (values ('level_mode'), ('answer_key_status')) v(f) union all select slug, 'QA' from collections")
+def column_labels(spark: SparkSession, folder: str) -> DataFrame:
+    names = F.explode(F.array(*map(F.lit, ("level_mode", "answer_key_status", "qa")))).alias("name")
+    return table(spark, folder, "collections").select("slug", names).select("slug", X.humanised(F.col("name")).alias("label"))
+
+
+# --- web pages ------------------------------------------------------------------------------------
+
+
+@query("""
+with p as (select slug, '/' || lower(coalesce(level, '')) || '/' || slug as path from collections)
+select slug, path = '/a1' or starts_with(path, '/a1/') as crawl,
+  case when starts_with(path, '/b1') then true when starts_with(path, '/b') then false else true end as robots from p""")
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.concat(F.lit("/"), F.lower(F.coalesce("level", F.lit(""))), F.lit("/"), "slug")
+    return table(spark, folder, "collections").select("slug", U.may_crawl(path, ["/a1", "/b1"], ["/b1"]).alias("crawl"), U.robots_allows(path, [("/b", False), ("/b1", True), ("", False)]).alias("robots"))
+
+
+_HREFS = ["#top", "mailto:desk@books.example", "../files/audio.mp3", "/about", "https://other.example/x", "page-2"]
+
+
+@query("""
+select slug, 'https://books.example/' || family || '/' || slug || '.html' as page, h.href,
+  case h.href when '#top' then 'https://books.example/' || family || '/' || slug || '.html#top' when 'mailto:desk@books.example' then h.href when '../files/audio.mp3' then 'https://books.example/files/audio.mp3'
+    when '/about' then 'https://books.example/about' when 'page-2' then 'https://books.example/' || family || '/page-2' else h.href end as absolute,
+  case h.href when '#top' then 'anchor' when 'mailto:desk@books.example' then 'mailto' when '../files/audio.mp3' then 'download' when 'https://other.example/x' then 'external' else 'internal' end as kind
+from collections, (values """ + ", ".join(f"('{h}')" for h in _HREFS) + ") h(href)")
+def page_links(spark: SparkSession, folder: str) -> DataFrame:
+    books = table(spark, folder, "collections").select("slug", F.concat(F.lit("https://books.example/"), "family", F.lit("/"), "slug", F.lit(".html")).alias("page"), F.explode(F.array(*map(F.lit, _HREFS))).alias("href"))
+    links = books.withColumn("absolute", U.resolve(F.col("href"), F.col("page")))
+    return links.withColumn("kind", U.link_kind(F.col("href"), F.col("absolute"), F.col("page")))
+
+
+@query("select 'internal' as kind, 2 * count(*) as n from collections union all " + " union all ".join(f"select '{k}', count(*) from collections" for k in ("anchor", "mailto", "download", "external")))
+def link_kind_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return page_links(spark, folder).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+select slug, case lang when 'de' then 'German' when 'fr' then 'French' else 'unknown' end as exam, case when regexp_matches(lower(level), '^[abc][12]$') then upper(level) else 'unknown' end as level, 'Reading' as section from collections""")
+def url_classes(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.concat(F.lit("/"), "lang", F.lit("/"), F.lower("level"), F.lit("/reading/"), "slug")
+    got = U.classify(path, {"de": "German", "fr": "French"}, {"reading": "Reading", "writing": "Writing"})
+    return table(spark, folder, "collections").select("slug", got.alias("_c")).select("slug", "_c.exam", "_c.level", "_c.section")
+
+
+@query(f"""
+select question_id as page_id, 1 as headings, case when {_filled('question')} then 1 else 0 end as paragraphs, case when {_ANY_OPTION} then 1 else 0 end as lists from questions""")
+def node_counts_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """Items as web pages: how many blocks of each type a page has."""
+    safe = lambda c: F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    items = F.array_join(F.transform(F.array(*quality.OPTIONS), lambda o: F.concat(F.lit("<li>"), safe(o), F.lit("</li>"))), "")
+    page = F.concat(F.lit("<nav><p>menu</p></nav><main><h2>Item</h2><p>"), safe(F.col("question")), F.lit("</p><ul>"), items, F.lit("</ul></main>"))
+    pages = table(spark, folder, "questions").select(F.col("question_id").alias("page_id"), page.alias("html"))
+    of = lambda t: F.count_if(F.col("type") == t).cast("int")
+    return html.nodes(pages).groupBy("page_id").agg(of("heading").alias("headings"), of("paragraph").alias("paragraphs"), of("list").alias("lists"))
+
+
 # --- texts, addresses, states -------------------------------------------------------------------
 
 _CJK = r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ac00}-\x{d7af}]"

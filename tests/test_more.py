@@ -59,3 +59,17 @@ def test_own_words_for_true_and_false(spark):
     df = spark.createDataFrame([(1, "true-false", "sí", *[None] * 5)], "question_id int, item_type string, correct_answer string, option_a string, option_b string, option_c string, option_d string, option_e string")
     out = answers.check(df, F.lit("es"), {"es": ["sí", "no"]}).first()
     assert (out.fixed, out.issue) == ("Sí", None)
+
+
+def test_titles_variants_counters_and_order(spark, one):
+    from quire.functions import text as X
+    from quire.operators import sheets
+
+    assert one(X.page_title, "<!-- a\nb --> rest\n  <!-- c -->\n\n12\nSeite 4\n## **Ti*t*el** &nbsp; x <!-- d -->\nmore") == "Titel x"
+    assert one(X.page_title, "<!-- never closed\n# Title") == "" and one(X.page_title, None) == "" and one(X.page_title, "a <!-- open\nb") == "a <!-- open"
+    assert [one(X.humanised, c) for c in ("qa", "source_page", None)] == ["QA", "Source page", None]
+    books = spark.createDataFrame([("s-a", None, "kurs-buch", "A1", None)], "slug string, title string, variant string, level string, pdf string")
+    assert rows(books.select(sheets.display_title(books))) == [("A1 - Kurs Buch - S A",)]
+    items = spark.createDataFrame([(1, "b", "10", "2"), (2, "b", "2", None), (3, "b", "10", "1"), (4, "b", None, "x")], "question_id long, collection string, source_page string, item string")
+    assert [r[0] for r in sorted(rows(sheets.in_order(items, "question_id").select("question_id", "place")), key=lambda r: r[1])] == [4, 3, 1, 2]
+    assert [one(sheets.item_count, j) for j in ('{"items": [1, 2]}', '{"entries": []}', "[1]", "[1", None, '{"x": 1}')] == [2, 0, 1, -1, -1, -1]

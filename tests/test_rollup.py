@@ -21,9 +21,10 @@ def test_sparse_and_coverage(spark):
 
 
 def test_tiers_sum_up(spark):
-    df = spark.createDataFrame([("f", "a"), ("f", "b"), ("g", "c"), ("g", "c")], "family string, collection string")
+    df = spark.createDataFrame([("f", "a"), ("f", "b"), ("g", "c"), (None, "c")], "family string, collection string")
     out = rows(rollup.tiers(df, ["family", "collection"], {"n": F.count(F.lit(1))}))
-    assert (None, None, 4) in out and sum(r[2] for r in out if r[1] is not None) == 4
+    assert (None, None, 0, 4) in out and sum(r[3] for r in out if r[2] == 2) == 4
+    assert (None, None, 1, 1) in out  # the family that is null isn't all families
 
 
 def test_top_with_rest(spark):
