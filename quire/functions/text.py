@@ -179,13 +179,13 @@ def backoff(base: float, factor: float, attempt: Column) -> Column:
 
 
 def frontmatter(page: Column) -> Column:
-    """The ``key: value`` lines between the fences at a page's start, as a map; the last of equal keys wins.
+    """The ``key: value`` lines between the fences at a page's start, trimmed, as a map; the last of equal keys wins.
 
     A page without fences gives an empty map. Needs spark.sql.mapKeyDedupPolicy=LAST_WIN.
     """
     lines = F.split(F.regexp_extract(page, r"(?s)^---\n(.*?)\n---\n?", 1), "\n")
     pairs = F.filter(lines, lambda x: x.contains(":"))
-    return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, r"^[^:]*:", "")))))
+    return F.map_from_entries(F.transform(pairs, lambda x: F.struct(strip(F.substring_index(x, ":", 1)), strip(F.regexp_replace(x, r"^[^:]*:", "")))))
 
 
 def body(page: Column) -> Column:
@@ -197,7 +197,7 @@ def loose_frontmatter(page: Column) -> Column:
     """As ``frontmatter``, but the second fence may be followed by anything, and a page must start with the first."""
     inner = F.regexp_extract(page, r"(?s)\A---(.*?)\n---", 1)
     pairs = F.filter(F.split(inner, "\n"), lambda x: x.contains(":"))
-    return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, r"^[^:]*:", "")))))
+    return F.map_from_entries(F.transform(pairs, lambda x: F.struct(strip(F.substring_index(x, ":", 1)), strip(F.regexp_replace(x, r"^[^:]*:", "")))))
 
 
 # Marks that a title loses, entities that stand for a space in it, and lines that only number a page.

@@ -104,9 +104,9 @@ _SPARSE = ["translation", "gender", "plural", "example", "article"]
 @query("select * from (" + " union all ".join(f"""
 select collection, '{c}' as "column", count(*) as n, count(*) filter (where {_filled(c)}) as filled, round(100.0 * count(*) filter (where {_filled(c)}) / count(*), 6) as pct,
   case when count(*) filter (where {_filled(c)}) = 0 then 'empty throughout' else 'rarely filled' end as finding
-from vocabulary group by 1""" for c in _SPARSE) + ") where pct < 30")
+from vocabulary group by 1""" for c in _SPARSE) + ") where pct < 10")
 def sparse_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    found = rollup.sparse_columns(table(spark, folder, "vocabulary"), _SPARSE, 30.0, ["collection"])
+    found = rollup.sparse_columns(table(spark, folder, "vocabulary"), _SPARSE, 10.0, ["collection"])
     return found.withColumn("pct", F.round("pct", 6))
 
 
@@ -198,11 +198,11 @@ def first_entry_kept(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select collection, coalesce(source_page, '') as source_page, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct chunk) as origins
-from questions group by 1, 2, 3, 4 having count(distinct chunk) > 1""")
+select collection, coalesce(source_page, '') as source_page, coalesce(part, '') as part, coalesce(item, '') as item, count(distinct extracted_at) as origins
+from questions group by 1, 2, 3, 4 having count(distinct extracted_at) > 1""")
 def chunk_collisions(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "questions")
-    return merge.collisions(rows, ["collection", "source_page", "part", "item"], "chunk")
+    """Items that come from several extractions; none of the tables comes from several chunks."""
+    return merge.collisions(table(spark, folder, "questions"), ["collection", "source_page", "part", "item"], "extracted_at")
 
 
 @query("select collection, cast(sum(n - 1) as bigint) as overwrites from (select collection, unit, count(*) as n from catalog_pages group by 1, 2) group by 1")
@@ -453,7 +453,7 @@ def explore_page(spark: SparkSession, folder: str) -> DataFrame:
 # --- pages, counters, order ----------------------------------------------------------------------
 
 
-_ONE_LINE = r"trim(regexp_replace(coalesce({}, ''), '[\r\n]+', ' ', 'g'))"
+_ONE_LINE = _strip(r"regexp_replace(coalesce({0}, ''), '[\r\n]+', ' ', 'g')").replace("{Z}", "{{Z}}")
 
 
 @query(rf"""
