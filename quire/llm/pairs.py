@@ -132,17 +132,15 @@ def _known_words(items: DataFrame) -> DataFrame:
     return answers.select("spoken", "answer", F.explode("ws").alias("word")).join(vocabulary, ["spoken", "word"], "left").groupBy("spoken", "answer").agg(F.avg(F.coalesce("is", F.lit(0))).alias("known"))
 
 
-def _spread(rows: DataFrame, name: str, types: DataFrame, least: int) -> DataFrame:
+def _spread(rows: DataFrame, name: str, shares: DataFrame, least: int) -> DataFrame:
     """name, types: in how many types of items each value is at home; values too rare to have met so many are left out.
 
     Measured against the share that a type has of all items, so it doesn't grow with their number.
     """
     counts = rows.groupBy(name, "type").agg(F.count(F.lit(1)).alias("n"))
-    all_ = counts.groupBy(name).agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("met")).where((F.col("met") >= least) | (F.col("all") >= 2 * least)).drop("met")
-    total = types.agg(F.sum("of_type").alias("total"))  # one row
-    expected = F.col("all") * F.col("of_type") / F.col("total")
-    met = counts.join(all_, name).join(types, "type").join(F.broadcast(total))
-    return met.groupBy(name).agg(F.count_if(F.col("n") >= AT_HOME * expected).alias("types"))
+    by = counts.groupBy(name).agg(F.sum("n").alias("all"), F.collect_list(F.struct("type", "n")).alias("by")).where((F.size("by") >= least) | (F.col("all") >= 2 * least))  # one element for each type
+    at_home = F.filter("by", lambda x: x["n"] >= AT_HOME * F.col("all") * F.col("shares")[x["type"]])
+    return by.join(F.broadcast(shares)).select(name, F.size(at_home).alias("types"))
 
 
 def _sentences(answer: Column) -> Column:
@@ -162,11 +160,13 @@ def votes(items: DataFrame) -> DataFrame:
     items = items.withColumn("free", F.col("type").isin(*FREE)).withColumn("said", language(F.col("answer")))
     items = cut(items)
     due = items.where(~F.col("free") & (F.col("key") != ""))
-    types = cut(due.groupBy("type").agg(F.count(F.lit(1)).alias("of_type")))
-    wide = _spread(due, "key", types, SPREAD).where(F.col("types") >= SPREAD).withColumnRenamed("types", "spread")
+    of_type = due.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    every = of_type.agg(F.sum("n").alias("all"), F.collect_list(F.struct("type", "n")).alias("by"))
+    shares = every.select(F.map_from_entries(F.transform("by", lambda x: F.struct(x["type"], x["n"] / F.col("all")))).alias("shares"))  # one row
+    wide = _spread(due, "key", shares, SPREAD).where(F.col("types") >= SPREAD).withColumnRenamed("types", "spread")
     said = due.select("answer", "type", F.explode(_sentences(F.col("answer"))).alias("sentence"))
     # An answer all of whose sentences are rare isn't judged.
-    common = _spread(said, "sentence", types, SENTENCE_SPREAD).select("sentence", (F.col("types") >= SENTENCE_SPREAD).alias("is"))
+    common = _spread(said, "sentence", shares, SENTENCE_SPREAD).select("sentence", (F.col("types") >= SENTENCE_SPREAD).alias("is"))
     shared = said.select("answer", "sentence").distinct().join(common, "sentence").groupBy("answer").agg(F.bool_or("is").alias("shared"))
     known = _known_words(items)
     kinds = F.concat_ws("|", "type", F.coalesce("said", "spoken", F.lit("")))
