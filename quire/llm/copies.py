@@ -76,8 +76,8 @@ def copies(rows: DataFrame, id_column: str = "vocab_id", collection: str = "coll
     """first_id, copy_id: each row that is not the first of its entry, with the first.
 
     The rows meet their entry over the raw columns, and only raw rows of entries with copies are on the
-    other side. A raw row that holds a third of the table is spread over tasks: its side is cut into as
-    many parts as its count needs, and the rows choose a part by their id.
+    other side. A raw row that holds a third of the table is spread over tasks: its side is given PARTS
+    times, and the rows choose a part by their id.
     """
     names = {"id_column": id_column, "collection": collection, "article": article, "word": word}
     raw = distinct_rows(rows, **names).withColumn("_key", canonical(F.col("_collection"), F.col("_article"), F.col("_word")))
