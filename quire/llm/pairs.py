@@ -20,6 +20,8 @@ from quire.session import cut
 
 #: From the defect that excludes the others most surely on: an empty answer is in no language, a refusal may be in any.
 DEFECTS = ("empty", "copy", "refusal", "language", "truncated")
+#: The labelling functions of each defect.
+FUNCTIONS = {d: [f"{d}_{k + 1}" for k in range(n)] for d, n in zip(DEFECTS, (4, 3, 4, 2, 5))}
 #: Posterior from which a defect is kept; tests/llm/test_pairs.py validates it on seeded defects of two sets of templates.
 CUTOFFS = dict.fromkeys(DEFECTS, 0.5)
 #: What is believed before any vote is seen, the same of every function: the share of items with its defect, and
@@ -71,14 +73,17 @@ _TASK = (
     r"|\b(?:cette (?:question|tâche)|cet (?:exercice|item)|exercice|corrigé|bonne réponse|la (?:réponse|solution)|l'image|page complète|tâche|demande)\b|\b(?:pregunta|ejercicio|tarea|respuesta|solución)\b"
 )
 _REQUEST = r"(?i)(?:could you|please|can you) (?:share|supply|provide|send|upload|give)|können sie[^.!?]*\b(?:schicken|senden|geben)|bitte (?:den|die|das)[^.!?]*\b(?:angeben|schicken|senden)|(?:pouvez|pourriez)-vous|merci de (?:fournir|envoyer|préciser)|por favor (?:envíe|comparta)"
-_POLITE = r"(?i)höflich|poliment|politely|einladung|invitation|lehnt|refuse-t|absag|annul|entschuldig dich|educadamente"
-_PERSONAL = r"(?i)\b(?:dir|dich|ihnen|euch)\b[^.!?]*\bnicht\b|\bnicht (?:kommen|mitkommen|gehen|mitgehen|teilnehmen)|ne peux pas (?:t'|te |vous |venir|aller)|can'?t (?:come|go|join|help you)|\bes tut mir leid, aber \p{Lu}|(?:désolée?|sorry), (?:mais|but) \p{Lu}"
 
 
-def language_votes(text: Column) -> dict[str, Column]:
-    """For each language the number of the text's words that are function words of it."""
+def _of(value: Column, f) -> Column:
+    """``f`` of a value that it uses several times: the value's expression stands in the plan, and runs, only once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def language_votes(text: Column) -> Column:
+    """An array: for each language, in the order of FUNCTION_WORDS, the number of the text's words that are function words of it."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-    return {k: _count(words, v) for k, v in FUNCTION_WORDS.items()}
+    return _of(words, lambda ws: F.array(*[_count(ws, listed) for listed in FUNCTION_WORDS.values()]))
 
 
 def _count(words: Column, listed: str) -> Column:
@@ -88,13 +93,13 @@ def _count(words: Column, listed: str) -> Column:
 
 def language(text: Column, least: int = 2) -> Column:
     """The language with the most function words, null if there are fewer than ``least`` or two lead."""
-    votes = language_votes(text)
-    best = F.greatest(*votes.values())
-    lead = reduce(lambda a, b: a + b, [(v == best).cast("int") for v in votes.values()])
-    out = F.lit(None).cast("string")
-    for k, v in votes.items():
-        out = F.when(v == best, F.lit(k)).otherwise(out)
-    return F.when((best >= least) & (lead == 1), out)
+    names = F.array(*map(F.lit, FUNCTION_WORDS))
+
+    def leading(votes: Column) -> Column:
+        best = F.array_max(votes)
+        return F.when((best >= least) & (F.size(F.filter(votes, lambda v: v == best)) == 1), F.get(names, (F.array_position(votes, best) - 1).cast("int")))
+
+    return _of(language_votes(text), leading)
 
 
 def _prepared(items: DataFrame) -> DataFrame:
@@ -155,10 +160,7 @@ def votes(items: DataFrame) -> DataFrame:
     The names are those of the defects with a number, as in ``copy_1``.
     """
     books = _book_languages(items)
-    items = _prepared(items)
-    items = items.join(books, "book", "left").withColumn("key", loose(F.col("answer"))).withColumn("asked", loose(F.col("question")))
-    items = items.withColumn("free", F.col("type").isin(*FREE)).withColumn("said", language(F.col("answer")))
-    items = cut(items)
+    items = cut(_read(_prepared(items).join(books, "book", "left")))
     due = items.where(~F.col("free") & (F.col("key") != ""))
     of_type = due.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
     every = of_type.agg(F.sum("n").alias("all"), F.collect_list(F.struct("type", "n")).alias("by"))
@@ -172,77 +174,98 @@ def votes(items: DataFrame) -> DataFrame:
     kinds = F.concat_ws("|", "type", F.coalesce("said", "spoken", F.lit("")))
     answers = items.where(F.char_length("answer") > 3).select(kinds.alias("kind"), F.col("answer").alias("text")).groupBy("kind", "text").agg(F.count(F.lit(1)).alias("n"))
     early = endings.judge(answers.withColumn("whole", F.col("n"))).where("early").select(F.col("kind").alias("_kind"), F.col("text").alias("_text"), F.lit(True).alias("early"))
-    rows = items.withColumn("_kind", kinds).withColumn("_text", F.col("answer")).join(early, ["_kind", "_text"], "left").join(wide, "key", "left").join(known, ["spoken", "answer"], "left").join(shared, "answer", "left")
+    rows = items.drop("question", "options").withColumn("_kind", kinds).withColumn("_text", F.col("answer")).join(early, ["_kind", "_text"], "left").join(wide, "key", "left").join(known, ["spoken", "answer"], "left").join(shared, "answer", "left")
     return _vote(rows)
 
 
-def _vote(rows: DataFrame) -> DataFrame:
+def _cast(c: Column, asked_of: Column) -> Column:
+    """A vote: for where the first holds, against where only the second does, else none."""
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    return F.when(~yes(asked_of), 0).when(yes(c), 1).otherwise(-1)
+
+
+def _read(rows: DataFrame) -> DataFrame:
+    """What an item says by itself: the votes of all functions that need no other item, and what the others ask of it.
+
+    In steps, each of columns of the step before, so that no expression is repeated, and before the joins: there
+    these patterns and folds made nine tenths of a plan that the driver optimises and describes anew after each stage.
+    """
     a, q, key, asked = F.col("answer"), F.col("question"), F.col("key"), F.col("asked")
-    yes = lambda c: F.coalesce(c, F.lit(False))
-    # For where the first holds; against where only the second does; else no vote.
-    vote = lambda c, asked_of: F.when(yes(c) & yes(asked_of), 1).when(yes(asked_of), -1).otherwise(0)
-    free, kind = F.col("free"), F.col("type")
-    spread = F.coalesce("spread", F.lit(0)) >= SPREAD
-    option_keys = F.transform("options", lambda o: loose(o))
-    is_option = F.exists(option_keys, lambda o: (o == key) & (o != ""))
+    free, kind, option_keys = F.col("free"), F.col("type"), F.col("option_keys")
     # What is left of an answer without quotation marks and a lead-in.
-    bare = F.regexp_replace(a, _LEAD_IN, "")
-    gap = F.split(q, r"_{2,}")
-    filled = (F.size(gap) == 2) & (kind == "fill-in")
-    before, after = loose(F.element_at(gap, 1)), loose(F.element_at(gap, -1))
+    bare = loose(F.regexp_replace(a, _LEAD_IN, ""))
+    word = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    gaps = F.split(q, r"_{2,}")
+    rows = rows.withColumns({
+        "key": loose(a), "asked": loose(q), "bare": bare, "free": kind.isin(*FREE), "said": language(a), "option_keys": F.transform("options", lambda o: loose(o)),
+        "given": word(q), "put": word(a), "gaps": F.size(gaps), "before": loose(F.element_at(gaps, 1)), "after": loose(F.element_at(gaps, -1)),
+        "letter": a.rlike(r"^\W*[a-eA-E]\W*$"),
+        "translation": q.rlike(_ASKS_TRANSLATION) | F.col("instruction").rlike(_ASKS_TRANSLATION),
+    })
+    before, after = F.col("before"), F.col("after")
+    filled = (F.col("gaps") == 2) & (kind == "fill-in")
     begun = filled & (F.length(before) >= 3) & key.startswith(before) & (F.length(key) > F.length(before) + 2)
     reached = key.endswith(after)
     # The last part of the gap sentence that the answer got to, where it stops within it.
     stopped = begun & ~reached & (F.length(after) > 4) & F.exists(F.sequence(F.lit(3), F.greatest(F.length(after) - 1, F.lit(3))), lambda i: key.endswith(F.substring(after, F.lit(1), i)) & (i < F.length(after)))
-    given = F.filter(F.split(F.lower(q), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    put = F.filter(F.split(F.lower(a), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    missing = F.size(F.array_except(given, put))
-    foreign = F.size(F.array_except(F.slice(put, 1, F.greatest(F.size(put) - 1, F.lit(1))), given))
+    given, put = F.col("given"), F.col("put")
     ordering = kind == "ordering"
-    same = (key == asked) | (loose(bare) == asked)
-    in_order = ordering & ~a.contains("/") & q.contains("/")
-    polite = q.rlike(_POLITE) | a.rlike(_PERSONAL)
-    spoken, said, known = F.col("spoken"), F.col("said"), F.col("known")
-    translation = q.rlike(_ASKS_TRANSLATION) | F.col("instruction").rlike(_ASKS_TRANSLATION)
-    letter = a.rlike(r"^\W*[a-eA-E]\W*$")
-    judged = (F.char_length(a) > 3) & ~free
+    rows = rows.withColumns({
+        "is_option": F.exists(option_keys, lambda o: (o == key) & (o != "")), "begun": begun, "stopped": stopped,
+        "missing": F.size(F.array_except(given, put)), "foreign": F.size(F.array_except(F.slice(put, 1, F.greatest(F.size(put) - 1, F.lit(1))), given)),
+        "same": (key == asked) | (F.col("bare") == asked), "in_order": ordering & ~a.contains("/") & q.contains("/"),
+    })
+    is_option, in_order, letter = F.col("is_option"), F.col("in_order"), F.col("letter")
     due = ~free
     filled_in = due & (F.length(key) > 0)
     # Functions of one defect don't look at another: an item may get votes for several.
-    text = filled_in & ~letter & ~is_option
+    rows = rows.withColumns({"text": filled_in & ~letter & ~is_option, "filled_in": filled_in, "brief": due & ~is_option & ~letter})
+    text, filled_in, spoken, said = F.col("text"), F.col("filled_in"), F.col("spoken"), F.col("said")
     out = {
-        # nothing is there; no letter or digit is there; a known placeholder; a short answer that all types share
-        "empty_1": vote(~a.rlike(r"[^\s\p{Z}\p{C}]"), due),
-        "empty_2": vote(F.length(key) == 0, due),
-        "empty_3": vote(F.length(key).between(1, 16) & key.isin(*PLACEHOLDERS), due & ~is_option),
-        "empty_4": vote((F.length(key) < 10) & (spread | (F.length(key) == 0)), due & ~is_option & ~letter),
+        # nothing is there; no letter or digit is there; a known placeholder
+        "empty_1": _cast(~a.rlike(r"[^\s\p{Z}\p{C}]"), due),
+        "empty_2": _cast(F.length(key) == 0, due),
+        "empty_3": _cast(F.length(key).between(1, 16) & key.isin(*PLACEHOLDERS), due & ~is_option),
         # the same letters and digits, perhaps after a lead-in; the same words in the same places; the gap still open
-        "copy_1": vote(same & ~in_order, (asked != "") & (key != "") & ~is_option),
-        "copy_2": vote(
+        "copy_1": _cast(F.col("same") & ~in_order, (asked != "") & (key != "") & ~is_option),
+        "copy_2": _cast(
             (F.size(put) - F.size(given)).between(0, 1) & ~in_order
             & (F.slice(put, F.greatest(F.size(put) - F.size(given) + 1, F.lit(1)), F.greatest(F.size(given), F.lit(1))) == given)
             & (F.regexp_count(a, F.lit(r"_{2,}")) == F.regexp_count(q, F.lit(r"_{2,}")))
             & ((F.size(put) == F.size(given)) | a.rlike(r"^[^:→=]{0,14}[:→=]")),
             (F.size(given) > 1) & (F.size(put) > 1) & ~is_option,
         ),
-        "copy_3": vote(a.rlike(r"_{2,}\s*\p{L}|\p{L}\s*_{2,}"), filled_in & q.rlike("_{2,}") & (F.length(key) > 12)),
-        # a model speaks of itself; it cannot, and speaks of the task; it asks for material; all types share a sentence of it
-        "refusal_1": vote(a.rlike(_SELF), text),
-        "refusal_2": vote(a.rlike(_CANNOT) & a.rlike(_TASK) & ~(polite & ~a.rlike(_SELF) & ~spread & ~a.rlike(_TASK)), text),
-        "refusal_3": vote(a.rlike(_REQUEST), text & (F.size(put) > 4)),
-        "refusal_4": vote(F.col("shared"), text & F.col("shared").isNotNull()),
-        # function words of another language; hardly any word that its language's questions have
-        "language_1": vote((said != spoken) & ~translation, text & said.isNotNull()),
-        "language_2": vote((known < 0.34) & ~translation, text & known.isNotNull()),
-        # it stops where no answer of its type does; it is the beginning of an option; words to be ordered are
-        # missing; the sentence around the gap stops; a broken character
-        "truncated_1": vote(F.col("early"), text & (F.char_length(a) > 3) & (F.size("options") < 2)),
-        "truncated_2": vote(text & (F.length(key) >= 2) & F.exists(option_keys, lambda o: o.startswith(key) & (F.length(o) > F.length(key))), filled_in & (F.size("options") > 1)),
-        "truncated_3": vote(text & (missing > 0) & (foreign == 0), filled_in & ordering),
-        "truncated_4": vote(stopped, text & begun),
-        "truncated_5": vote(a.rlike(r"�[\s\p{P}]*$"), text),
+        "copy_3": _cast(a.rlike(r"_{2,}\s*\p{L}|\p{L}\s*_{2,}"), filled_in & q.rlike("_{2,}") & (F.length(key) > 12)),
+        # a model speaks of itself; it cannot, and speaks of the task; it asks for material
+        "refusal_1": _cast(a.rlike(_SELF), text),
+        "refusal_2": _cast(a.rlike(_CANNOT) & a.rlike(_TASK), text),
+        "refusal_3": _cast(a.rlike(_REQUEST), text & (F.size(put) > 4)),
+        # function words of another language
+        "language_1": _cast((said != spoken) & ~F.col("translation"), text & said.isNotNull()),
+        # it is the beginning of an option; words to be ordered are missing; the sentence around the gap stops; a broken character
+        "truncated_2": _cast(text & (F.length(key) >= 2) & F.exists(option_keys, lambda o: o.startswith(key) & (F.length(o) > F.length(key))), filled_in & (F.size("options") > 1)),
+        "truncated_3": _cast(text & (F.col("missing") > 0) & (F.col("foreign") == 0), filled_in & ordering),
+        "truncated_4": _cast(F.col("stopped"), text & F.col("begun")),
+        "truncated_5": _cast(a.rlike(r"�[\s\p{P}]*$"), text),
+    }
+    ends = text & (F.char_length(a) > 3) & (F.size("options") < 2)
+    return rows.select("question_id", "type", "question", "answer", "options", "spoken", "said", "free", "key", "text", "brief", "translation", ends.alias("ends"), *[c.cast("int").alias(n) for n, c in out.items()])
+
+
+def _vote(rows: DataFrame) -> DataFrame:
+    """The votes of an item by itself, and those of the functions that ask what other items have."""
+    key, text, known = F.col("key"), F.col("text"), F.col("known")
+    out = {
+        # a short answer that all types share
+        "empty_4": _cast((F.length(key) < 10) & ((F.coalesce("spread", F.lit(0)) >= SPREAD) | (F.length(key) == 0)), F.col("brief")),
+        # all types share a sentence of it
+        "refusal_4": _cast(F.col("shared"), text & F.col("shared").isNotNull()),
+        # hardly any word that its language's questions have
+        "language_2": _cast((known < 0.34) & ~F.col("translation"), text & known.isNotNull()),
+        # it stops where no answer of its type does
+        "truncated_1": _cast(F.col("early"), F.col("ends")),
     }
-    return rows.select("question_id", *[c.cast("int").alias(n) for n, c in out.items()])
+    return rows.select("question_id", *[out[n].cast("int").alias(n) if n in out else n for names in FUNCTIONS.values() for n in names])
 
 
 def fit(counts: dict[tuple[int, ...], int], weight: float = WEIGHT, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
@@ -291,19 +314,21 @@ def defects(items: DataFrame, cutoffs: dict[str, float] | None = None, rounds: i
     functions.
     """
     cutoffs = CUTOFFS | (cutoffs or {})
-    voted = cut(votes(items))
-    spark = items.sparkSession
-    parts = []
-    for defect in DEFECTS:
-        names = [c for c in voted.columns if c.startswith(defect + "_")]
-        counts = {tuple(r[n] for n in names): r["count"] for r in voted.groupBy(*names).count().collect()}
-        post = fit(counts, rounds=rounds)
-        # A defect needs a vote for it, however rare the votes against it are.
-        sure = [(*p, float(x)) for p, x in post.items() if x > cutoffs[defect] and 1 in p]
-        schema = ", ".join(f"{n} int" for n in names) + ", posterior double"
-        table = F.broadcast(spark.createDataFrame(sure, schema))  # at most one row for each pattern of votes
-        parts.append(voted.join(table, names).select("question_id", F.lit(defect).alias("defect"), "posterior"))
-    return reduce(DataFrame.unionByName, parts)
+    # The votes of one defect as one number, a digit to the base of three for each function.
+    number = lambda names: reduce(lambda x, y: x + y, [(F.col(n) + 1) * 3**k for k, n in enumerate(names)])
+    by = F.inline(F.array(*[F.struct(F.lit(d).alias("defect"), number(names).alias("pattern")) for d, names in FUNCTIONS.items()]))
+    voted = cut(votes(items)).select("question_id", by)
+    seen: dict[str, dict[tuple[int, ...], int]] = {d: {} for d in DEFECTS}
+    for r in voted.groupBy("defect", "pattern").count().collect():
+        seen[r["defect"]][tuple(r["pattern"] // 3**k % 3 - 1 for k in range(len(FUNCTIONS[r["defect"]])))] = r["count"]
+    sure = []
+    for defect, counts in seen.items():
+        for p, x in fit(counts, rounds=rounds).items():
+            # A defect needs a vote for it, however rare the votes against it are.
+            if x > cutoffs[defect] and 1 in p:
+                sure.append((defect, sum((v + 1) * 3**k for k, v in enumerate(p)), float(x)))
+    table = F.broadcast(items.sparkSession.createDataFrame(sure, "defect string, pattern int, posterior double"))  # at most one row for each pattern of votes
+    return voted.join(table, ["defect", "pattern"]).select("question_id", "defect", "posterior")
 
 
 def found(items: DataFrame) -> DataFrame:

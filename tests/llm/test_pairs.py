@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import pairs as P
 from tests.conftest import rows
@@ -146,3 +147,18 @@ def test_label_model_learns_trust():
     # A single step from the common belief, as without training, takes the third at its word: its posteriors are off.
     off = lambda p: sum(abs(n * p[v] - truth[v]) for v, n in counts.items())
     assert off(post) < 0.6 * off(P.fit(counts, rounds=1))
+
+
+def test_plans_repeat_no_text_work(spark):
+    """The joins don't carry the patterns that each item is read by, votes are read once, and so is a text for its language."""
+    df = spark.createDataFrame(items(4, n=300)[0], SCHEMA)
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    of_votes = plan(P.votes(df))
+    assert of_votes.count("RLIKE") < 10 and len(of_votes) < 40_000
+    assert plan(P.defects(df)).count("Relation [") == 1
+    assert plan(df.select(P.language(F.col("question")).alias("l"))).count("split(") == 1
+
+
+def test_language_by_most_function_words(one):
+    assert [one(P.language, t) for t in ("der Hund und die Katze", "the dog is here", "der the", "Hund", "", None)] == ["de", "en", None, None, None, None]
+    assert one(lambda c: P.language(c, 1), "les chiens") == "fr"
